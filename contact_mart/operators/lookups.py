@@ -83,9 +83,11 @@ DEMAND_CHANNELS = {
 
 def lookup_frame(spark: SparkSession, columns: list[str], rows: list[tuple[str, ...]]) -> DataFrame:
     """Literal rows as a local relation, whose exact size the planner knows."""
-    markers = ", ".join("(" + ", ".join("?" for _ in columns) + ")" for _ in rows)
-    values = [value for row in rows for value in row]
-    return spark.sql(f"SELECT * FROM VALUES {markers} AS t({', '.join(columns)})", args=values)
+    def literal(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    tuples = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {tuples} AS t({', '.join(columns)})")
 
 
 def first_owner(groups: dict[str, tuple[str, ...]]) -> list[tuple[str, str]]:
