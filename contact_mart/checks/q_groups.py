@@ -152,8 +152,8 @@ register(
 )
 register(
     "conditional_sums",
-    lambda c: rounded(scaling.category_share(weighted_orders(c), c.p), "fac_cat", "factor_sum", digits=4),
-    f"SELECT call_date, canal, market_code, round(fac_cat, 4) AS fac_cat, round(factor_sum, 4) AS factor_sum FROM {ORDER_SHARE_SQL}",
+    lambda c: rounded(scaling.category_share(weighted_orders(c), c.p), "fac_cat", "factor_sum", digits=6),
+    f"SELECT call_date, canal, market_code, round(fac_cat, 6) AS fac_cat, round(factor_sum, 6) AS factor_sum FROM {ORDER_SHARE_SQL}",
 )
 
 

@@ -258,13 +258,13 @@ def shares(c: Context):
     rows = weighted_orders(c)
     keys = {k: k for k in ("call_date", "canal", "market_code")}
     joined = joins.left_lookup(rows.select("conversation_id", *keys), scaling.category_share(rows, c.p), keys)
-    return rounded(joined, "fac_cat", "factor_sum", digits=4)
+    return rounded(joined, "fac_cat", "factor_sum", digits=6)
 
 
 register(
     "share_join",
     shares,
-    f"""SELECT r.conversation_id, r.call_date, r.canal, r.market_code, round(fac_cat, 4) AS fac_cat, round(factor_sum, 4) AS factor_sum
+    f"""SELECT r.conversation_id, r.call_date, r.canal, r.market_code, round(fac_cat, 6) AS fac_cat, round(factor_sum, 6) AS factor_sum
         FROM {WEIGHTED_ORDERS_SQL} r LEFT JOIN {ORDER_SHARE_SQL} s ON s.call_date = r.call_date AND s.canal = r.canal AND s.market_code = r.market_code""",
 )
 register(

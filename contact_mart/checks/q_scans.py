@@ -37,16 +37,16 @@ for _name in INPUTS:
 
 
 def _orders(c: Context) -> DataFrame:
-    """Orders as a small layer table: one row per conversation and day."""
+    """Orders as a layer table with one partition per month."""
     return c.table("orders").select(
         F.concat(F.lit("c"), F.col("o_orderkey")).alias("conversation_id"),
-        F.to_date("o_orderdate").alias("call_date"),
+        F.trunc("o_orderdate", "MM").alias("call_date"),
         F.col("o_totalprice").alias("factor"),
         F.col("o_custkey").alias("customer"),
     )
 
 
-_ORDERS_SQL = "SELECT 'c' || o_orderkey AS conversation_id, CAST(o_orderdate AS DATE) AS call_date, {0} AS factor, o_custkey AS customer FROM orders"
+_ORDERS_SQL = "SELECT 'c' || o_orderkey AS conversation_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS call_date, {0} AS factor, o_custkey AS customer FROM orders"
 
 
 def full_rebuild(c: Context) -> DataFrame:
@@ -65,12 +65,12 @@ register(
 
 
 def replaced(c: Context) -> DataFrame:
-    """New rows exist for some days of the window only; the other days lose their old rows."""
+    """New rows exist for every other partition of the window; the others lose their old rows."""
     path = c.ws.path("replace-where")
     start = c.p.incremental().start
     orders = _orders(c)
     write_layer(orders, path)
-    fresh = orders.where((F.col("call_date") >= F.lit(start)) & (F.dayofmonth("call_date") <= 20)).withColumn(
+    fresh = orders.where((F.col("call_date") >= F.lit(start)) & (F.month("call_date") % 2 == 1)).withColumn(
         "factor", F.col("factor") * 2
     )
     replace_where(fresh, path, start)
@@ -81,7 +81,7 @@ register(
     "replace_where",
     replaced,
     _ORDERS_SQL.format("CASE WHEN o_orderdate >= DATE '2001-05-01' THEN o_totalprice * 2 ELSE o_totalprice END")
-    + " WHERE o_orderdate < DATE '2001-05-01' OR day(o_orderdate) <= 20",
+    + " WHERE o_orderdate < DATE '2001-05-01' OR month(o_orderdate) % 2 = 1",
 )
 
 register(

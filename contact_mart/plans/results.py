@@ -116,23 +116,36 @@ def social_rows(demand: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def process_log(src: Sources, p: Params) -> DataFrame:
-    """Distinct (conversation, participant, agent number) over the three process logs."""
+def process_rows(src: Sources, p: Params) -> DataFrame:
+    """(conversation, participant, agent number) of the three process logs, duplicates included."""
     logs = [
         since(src[name], "load_datetime", p)
         .where(F.col("participant_id").isNotNull())
         .select("conversation_id", "participant_id", F.col("agent_bp_number").try_cast("bigint").alias("agent_bp_number"))
         for name in ("audio_process", "text_process", "whatsapp_process")
     ]
-    return union_distinct(*logs)
+    return union_all(*logs)
+
+
+def process_log(src: Sources, p: Params) -> DataFrame:
+    return union_distinct(process_rows(src, p))
 
 
 def agent_bridge(logs: DataFrame, staff: DataFrame) -> DataFrame:
-    """Agent id behind a participant, by way of the agent number."""
-    people = latest_staff(staff, "agent_id").select("agent_id", "agent_bp_number").where(
-        F.col("agent_bp_number").isNotNull()
+    """Agent ids behind a participant, by way of the agent number.
+
+    Grouping by (conversation, participant) removes the duplicates of the logs as well and
+    leaves the rows where the joins on the bridge need them, so the logs move once. The
+    set per participant is as long as the list of ids that share its numbers.
+    """
+    people = (
+        latest_staff(staff, "agent_id")
+        .select("agent_id", "agent_bp_number")
+        .where(F.col("agent_bp_number").isNotNull())
     )
-    return logs.join(people, "agent_bp_number").select("conversation_id", "participant_id", "agent_id").distinct()
+    agents = F.collect_set(F.struct("agent_id")).alias("agents")
+    sets = logs.join(people, "agent_bp_number").groupBy("conversation_id", "participant_id").agg(agents)
+    return sets.select("conversation_id", "participant_id", F.inline("agents"))
 
 
 def on_bridge(df: DataFrame, bridge: DataFrame) -> DataFrame:
@@ -251,10 +264,8 @@ def chat_outcomes(src: Sources) -> DataFrame:
 
 
 def retention(src: Sources, p: Params) -> DataFrame:
-    start = p.start if p.start is not None else p.min_date
-    return filters.cut(src["retention_flags"], "conversation_start_dt", start).select(
-        "conversation_id", "is_hvc", "is_recontact"
-    )
+    flags = since(src["retention_flags"], "conversation_start_dt", p, always=True)
+    return flags.select("conversation_id", "is_hvc", "is_recontact")
 
 
 def staff_lookups(rows: DataFrame, src: Sources) -> DataFrame:
@@ -267,7 +278,7 @@ def staff_lookups(rows: DataFrame, src: Sources) -> DataFrame:
 def conversation_lookups(rows: DataFrame, src: Sources, p: Params) -> DataFrame:
     """Surveys, resolution, quality, agent lists and recontact: all joined on the conversation."""
     staff = src["staff_snapshots"]
-    bridge = agent_bridge(process_log(src, p), staff)
+    bridge = agent_bridge(process_rows(src, p), staff)
     sessions = session_agents(since(src["participant_sessions"], "load_datetime", p), staff, src["agent_names"])
     summary = agents_summary(sessions).select(
         "conversation_id", "all_agent_bp_numbers", "all_supervisor_bp_numbers"

@@ -18,7 +18,7 @@ LEVELS = ["first_category", "second_category", "third_category"]
 
 def market_by_conversation(bots: DataFrame, p: Params) -> DataFrame:
     """One market per conversation; here the current day is included."""
-    recent = filters.cut(bots, "conversation_start_datetime", p.facts_from, filters.next_day(p.as_of))
+    recent = filters.cut(bots, "conversation_start_datetime", p.loads_from, filters.next_day(p.as_of))
     return min_per_key(recent, "conversation_id", "market_code")
 
 

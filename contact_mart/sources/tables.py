@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,31 +40,40 @@ def replace_where(
 
     The new days are written to the job's staging folder and swapped in on commit, so
     a failed run leaves the table as it was. Days of the window that got no new rows
-    are dropped afterwards: partition overwrite alone would keep their old rows.
+    are dropped afterwards: partition overwrite alone would keep their old rows. A row
+    before ``start`` fails the job, as it would replace a day outside the window.
     """
-    spark = df.sparkSession
-    seen = Observation()
-    window = F.coalesce(F.col(day) >= F.lit(start), F.lit(False))
-    marked = df.observe(
-        seen,
-        F.collect_set(F.when(window, F.col(day))).alias("days"),
-        F.count_if(~window).alias("outside"),
-    )
-    _arranged(marked.where(window), day, cluster).write.mode("overwrite").option(
+    inside = F.coalesce(F.col(day) >= F.lit(start), F.lit(False))
+    refuse = F.raise_error(F.lit(f"a row lies before the window that starts on {start}")).cast("boolean")
+    checked = df.where(F.when(inside, F.lit(True)).otherwise(refuse))
+    before = _window_files(df.sparkSession, path, day, start)
+    _arranged(checked, day, cluster).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(day).parquet(path)
-    _drop_days(spark, path, day, start, keep={str(d) for d in seen.get["days"]})
-    if seen.get["outside"]:
-        raise ValueError(f"{seen.get['outside']} rows lie before {start} and were not written")
-
-
-def _drop_days(spark: SparkSession, path: str, day: str, start: date, keep: set[str]) -> None:
-    """Remove day folders of the window that are not in ``keep`` (metadata only)."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    for status in fs.globStatus(hadoop.Path(path, f"{day}=*")):
-        value = status.getPath().getName().split("=", 1)[1]
-        if value[:4].isdigit() and value >= str(start) and value not in keep:
-            fs.delete(status.getPath(), True)
+    after = _window_files(df.sparkSession, path, day, start)
+    # A rewritten day holds new file names only; one with its old files got no new rows.
+    _drop_folders(df.sparkSession, path, [name for name, files in before.items() if after.get(name) == files])
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _window_files(spark: SparkSession, path: str, day: str, start: date) -> dict[str, set[str]]:
+    """File names per day folder of the window (a listing of names, no data)."""
+    folder, fs = _folder(spark, path)
+    found = {}
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        value = name.removeprefix(f"{day}=")
+        if name != value and value[:1].isdigit() and value >= str(start):
+            found[name] = {f.getPath().getName() for f in fs.listStatus(status.getPath())}
+    return found
+
+
+def _drop_folders(spark: SparkSession, path: str, names: list[str]) -> None:
+    folder, fs = _folder(spark, path)
+    for name in names:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, name), True)
     spark.catalog.refreshByPath(path)
