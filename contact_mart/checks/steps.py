@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 
 from contact_mart.operators.lookups import CATEGORIES, COUNTRIES, DEMAND_CHANNELS, first_owner
-from contact_mart.params import DENIED_FORMS, MONTH_LABELS
+from contact_mart.params import DENIED_FORMS, MONTH_LABELS, SYSTEM_AGENT
 from contact_mart.sources.driver import INPUTS, PARAMS, duckdb_text
 
 
@@ -130,7 +130,7 @@ STEPS |= {
         SELECT * FROM in_tickets
         WHERE year(created_dt) IN ({', '.join(map(str, PARAMS.ticket_years))})
           AND NOT regexp_matches(tag_list, 'monoquebrado|multiquebrado') AND NOT contains(tag_list, 'project_child')
-          AND upper(agent_name) <> 'LATAM AIRLINES' AND NOT contains(upper(subject_desc), 'TEST GOPE')
+          AND upper(agent_name) <> '{SYSTEM_AGENT}' AND NOT contains(upper(subject_desc), 'TEST GOPE')
           AND NOT regexp_matches(agent_group_name, '(?i)SOPORTE|SUPORTE')
           AND date_diff('second', created_dt, solved_dt) > 10
           AND CASE WHEN agent_group_name = 'HVC KON BR' THEN upper(contact_form_name) = 'SPECIAL SERVICES'

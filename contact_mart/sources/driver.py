@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contact_mart.params import Params
+from contact_mart.params import SYSTEM_AGENT, Params
 from contact_mart.sources.catalog import Sources
 
 TABLES = (
@@ -182,7 +182,7 @@ SELECT 't' || doc_id AS ticket_id,
        CASE WHEN doc_id % 6 = 0 THEN NULL ELSE 'F' || (doc_id % 8) END AS factory_name,
        CASE WHEN lang = 'es' THEN 'PT-BR' ELSE upper(lang) END AS language_name,
        CASE WHEN doc_id % 4 = 0 THEN 'Special Services' ELSE 'web' END AS contact_form_name,
-       CASE WHEN doc_id % 37 = 0 THEN 'Latam Airlines' ELSE 'Agent ' || (doc_id % 50) END AS agent_name,
+       CASE WHEN doc_id % 37 = 0 THEN '{SYSTEM_AGENT.title()}' ELSE 'Agent ' || (doc_id % 50) END AS agent_name,
        CASE WHEN doc_id % 31 = 0 THEN 'a test gope b' ELSE source END AS subject_desc,
        CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN 'x project_child y'
             WHEN doc_id % 29 = 0 THEN 'multiquebrado' ELSE 'a' END AS tag_list,
