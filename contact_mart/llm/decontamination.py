@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from contact_mart.llm.common import Tables, let, lower_ascii, prepare
 
 WINDOW = 10
+# Rows, of about 100 bytes, of the benchmark side of a join that are sent to all tasks.
+SENT_ROWS = 500_000
 SHINGLE = 5
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -60,6 +62,11 @@ def windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text")
     return cut.select("item", F.array_join("w", " ").alias("window"), F.size("w").alias("n")).distinct()
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """The table sent to all tasks if it has SENT_ROWS rows at most; a larger one is joined by exchange."""
+    return F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
+
+
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, tables: Tables | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -100,7 +107,7 @@ def decontaminate(
         part = words.select("doc", "hash", "n_words", F.posexplode(listed).alias("place", "token"))
         part = part if k == 0 else part.withColumn("place", F.col("place") + 1)
         places = part if places is None else places.unionByName(part)
-    wanted = tokens.select("token").distinct().withColumn("known", F.lit(True))
+    wanted = _sent(tables.put(tokens.select("token").distinct().withColumn("known", F.lit(True)), "wanted"))
     hits = tables.put(
         places.join(wanted, "token", "left").where("known or place = 0").select("doc", "hash", "n_words", "place", "token"),
         "hits",
@@ -119,7 +126,7 @@ def decontaminate(
         .where("missing = 0")
         .select("window", "n", "rarest.token", "rarest.offset")
     )
-    prefix = tables.put(prefix, "prefix")
+    prefix = _sent(tables.put(prefix, "prefix"))
     candidates = (
         found.join(prefix, "token")
         .withColumn("start", F.col("place") - 1 - F.col("offset"))
@@ -131,8 +138,11 @@ def decontaminate(
     texts = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     checked = texts.join(
         candidates, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("hash") == F.col("__hash"))
-    ).select("doc", "hash", "places", _words(lower_ascii(F.col("text"))).alias("words"))
-    same = F.filter("places", lambda c: F.array_join(F.slice("words", c["start"] + 1, c["n"]), " ") == c["window"])
+    )
+    same = let(
+        _words(lower_ascii(F.col("text"))),
+        lambda words: F.filter("places", lambda c: F.array_join(F.slice(words, c["start"] + 1, c["n"]), " ") == c["window"]),
+    )
     verified = tables.put(
         checked.select("doc", "hash", same.alias("places")).where(F.size("places") > 0).dropDuplicates(["doc", "hash"]),
         "verified",
