@@ -7,10 +7,11 @@
    uniform prior, decides: a pair goes as soon as the probability that it reaches the threshold is under ``MISS``.
 4. What is left is confirmed on the whole shingle sets.
 
-Candidates come in two passes, so that a bucket of n classes does not cost n * n comparisons. The first compares every
-class of a bucket with the smallest one; the confirmed links give components. The second looks at the buckets whose
-classes are in different components still, and compares all pairs of theirs that are in different ones: links inside a
-component would add nothing. Large buckets are dealt out in blocks.
+Candidates come in passes, so that a bucket of n classes does not cost n * n comparisons. The first compares every
+class of a bucket with the smallest one; the confirmed links give components. The next ones take the buckets whose classes
+are in different components still and compare them with their most linked class, which is the original where copies
+were made of it. The last one compares what is left: all pairs of such a bucket that are in different components, since
+links inside one would add nothing. They are tested and confirmed where they meet, so no table of pairs is made.
 """
 
 from __future__ import annotations
@@ -31,7 +32,11 @@ from contact_mart.llm.components import components
 HASHES, BANDS, BATCH = 128, 32, 16
 # Probability with which a pair of at least the threshold may be dropped by its signature.
 MISS = 1e-6
-BLOCK = 512
+BLOCK, BLOCK_BYTES, MOST_CLUSTERED = 512, 16 << 20, 8192
+# Ids (8 bytes each) sent to the tasks that read the texts; more are joined by exchange.
+SENT_IDS = 2_000_000
+# Passes in which a bucket is compared with its most linked class before the residual pass.
+STARS = 2
 _RNG = np.random.default_rng(20240501)
 _A = (_RNG.integers(0, 1 << 31, HASHES, np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, HASHES, np.uint32)
@@ -127,54 +132,93 @@ def _probable(pairs: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").mapInPandas(test, "a long, b long")
 
 
-def _cross_pairs(residual: DataFrame, classes: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs of residual buckets (bucket, node, component, n) in different components that the sequential test leaves.
-
-    A bucket of up to BLOCK classes is one group; a larger one is dealt into blocks of about BLOCK, and every two
-    blocks are a group. Only what passes the test leaves the task."""
-    least = least_matches(per_cent)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = residual.join(classes.select("node", "sketch"), "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), blocks).cast("int")
+def _cross_links(residual: DataFrame, classes: DataFrame, docs: DataFrame, per_cent: int, tables: Tables) -> DataFrame:
+    """Confirmed links between classes of residual buckets (bucket, node, component, n) in different components.
+
+    Buckets that share classes form a cluster, of which every class is sent once; a cluster of more than MOST_CLUSTERED
+    classes is taken bucket by bucket. A group of up to BLOCK classes and BLOCK_BYTES of text is one; a larger one is
+    dealt into blocks, and every two blocks meet in a task. The task tests signatures, then whole sets, and counts
+    what it links as one component from there on. Only links leave it."""
+    spokes = residual.join(residual.groupBy("bucket").agg(F.min("node").alias("hub")), "bucket")
+    clusters = tables.put(components(spokes.select(F.col("hub").alias("a"), F.col("node").alias("b")), tables, "clusters"), "clusters")
+    sizes = clusters.groupBy(F.col("component").alias("cluster")).agg(F.count("*").alias("in_cluster"))
+    of_node = clusters.withColumnRenamed("component", "cluster").join(sizes, "cluster")
+    member = residual.join(of_node, "node").select(
+        F.when(F.col("in_cluster") <= MOST_CLUSTERED, F.struct(F.lit(0).alias("kind"), F.col("cluster").alias("id")))
+        .otherwise(F.struct(F.lit(1).alias("kind"), F.col("bucket").alias("id"))).alias("group"),
+        "node", "component",
+    ).distinct()
+    ids = tables.put(residual.select(F.col("node").alias("doc")).distinct(), "nodes-last")
+    side = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+    texts = tables.put(docs.join(side, "doc", "left_semi").select(F.col("doc").alias("node"), "text").dropDuplicates(["node"]), "texts-last")
+    member = tables.put(member.join(texts.select("node", F.octet_length("text").alias("bytes")), "node"), "members")
+    blocks = member.groupBy("group").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
     )
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "sketch"
+    own = member.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    full = own.join(classes.select("node", "sketch"), "node").join(texts, "node")
+    dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.col("group.kind").alias("kind"), F.col("group.id").alias("id"), F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"), "block", "node", "component", "sketch", "text",
     )
-    dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "component", "node")
+    key = ["kind", "id", "i", "j"]
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "component", "node")
+    least = least_matches(per_cent)
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         sketches, node = _matrix(part["sketch"]), part["node"].to_numpy()
-        component, block = part["component"].to_numpy(), part["block"].to_numpy()
-        single, out = part["i"].iloc[0] == part["j"].iloc[0], []
+        component, block = part["component"].to_numpy().copy(), part["block"].to_numpy()
+        sets: list[np.ndarray | None] = [None] * len(part)
+        texts, single, out = part["text"].tolist(), part["i"].iloc[0] == part["j"].iloc[0], []
+
+        def of(k: int) -> np.ndarray:
+            if sets[k] is None:
+                sets[k] = np.unique(shingle_hashes(texts[k]))
+            return sets[k]
+
         for k in range(len(part) - 1):
             others = np.arange(k + 1, len(part))
             others = others[(component[others] != component[k]) & (single | (block[others] != block[k]))]
-            if len(others):
-                keep = others[plausible(np.broadcast_to(sketches[k], (len(others), HASHES)), sketches[others], least)]
-                out.append(np.stack([np.minimum(node[keep], node[k]), np.maximum(node[keep], node[k])], 1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b"])
+            if not len(others):
+                continue
+            keep = others[plausible(np.broadcast_to(sketches[k], (len(others), HASHES)), sketches[others], least)]
+            for o in keep.tolist():
+                if component[o] != component[k] and linked(of(k), of(o), per_cent):
+                    out.append((min(node[k], node[o]), max(node[k], node[o])))
+                    component[component == component[o]] = component[k]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         at = None
         for batch in batches:
-            for key, part in batch.groupby(["bucket", "i", "j"], sort=False):
-                if key != at and held:
+            for group, part in batch.groupby(key, sort=False):
+                if group != at and held:
                     yield compare(pd.concat(held))
                     held = []
-                at = key
+                at = group
                 held.append(part)
         if held:
             yield compare(pd.concat(held))
 
-    return dealt.mapInPandas(stream, "a long, b long").distinct()
+    return dealt.mapInPandas(stream, "a long, b long")
+
 
+def linked(one: np.ndarray, two: np.ndarray, per_cent: int) -> bool:
+    """Two sets of distinct sorted shingles reach the threshold."""
+    if 100 * min(len(one), len(two)) < per_cent * max(len(one), len(two)):
+        return False
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * common >= per_cent * (len(one) + len(two) - common)
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs whose whole shingle sets reach the threshold."""
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, per_cent: int, tables: Tables, name: str) -> DataFrame:
+    """Pairs whose whole shingle sets reach the threshold. The texts of their documents are written down once, so that
+    the others' texts move once at most."""
     nodes = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    texts = docs.join(nodes, "doc", "left_semi")
+    nodes = tables.put(nodes, f"nodes-{name}")
+    side = F.broadcast(nodes) if nodes.count() <= SENT_IDS else nodes
+    texts = tables.put(docs.join(side, "doc", "left_semi"), f"texts-{name}")
     left = texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
 
@@ -187,14 +231,26 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, per_cent: int) -> DataFrame:
                 if one is None or ta != text:
                     text, one = ta, np.unique(shingle_hashes(ta))
                 two = np.unique(shingle_hashes(tb.as_py()))
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * common >= per_cent * (len(one) + len(two) - common):
+                if linked(one, two, per_cent):
                     keep.append(k)
             yield pa.RecordBatch.from_arrays([batch["a"].take(pa.array(keep, pa.int64())), batch["b"].take(pa.array(keep, pa.int64()))], ["a", "b"])
 
     return pairs.join(right, "b").join(left, "a").mapInArrow(confirm, "a long, b long")
 
 
+def _residual(shared: DataFrame, links: DataFrame, tables: Tables, name: str) -> DataFrame:
+    """bucket, node, component, n: the rows of buckets whose classes are not all linked by now."""
+    united = tables.put(components(links, tables, f"components-{name}"), f"united-{name}")
+    placed = shared.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    split = (
+        placed.groupBy("bucket")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        .where("low < high")
+        .select("bucket", "n")
+    )
+    return placed.join(split, "bucket")
+
+
 def near_duplicates(
     docs: DataFrame, per_cent: int = 75, tables: Tables | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -223,24 +279,22 @@ def near_duplicates(
     tested = tables.put(_probable(first, nodes, per_cent), "pairs-1")
     same_id = linked.join(classes.select("digest", "node"), "digest").where("doc <> node").select(F.col("node").alias("a"), F.col("doc").alias("b"))
     twice = linked.groupBy("doc").agg(F.count_distinct("digest").alias("n")).where("n > 1").select(F.col("doc").alias("b"))
-    links = tables.put(_confirmed(tested, texts, per_cent).unionByName(same_id.join(twice, "b", "left_semi").select("a", "b")), "links-1")
-    united = tables.put(components(links, tables, "first"), "united-1")
-
-    placed = shared.join(united, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component")
-    )
-    split = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .where("low < high")
-        .select("bucket", "n")
-    )
-    residual = tables.put(placed.join(split, "bucket"), "residual")
-    second = _cross_pairs(residual, nodes, per_cent).join(tested, ["a", "b"], "left_anti")
-    second = tables.put(second, "pairs-2")
-    more = _confirmed(second, texts, per_cent)
-    edges = links.unionByName(more)
-    whole = components(edges, tables, "second")
+    ties = same_id.join(twice, "b", "left_semi").select("a", "b")
+    links = tables.put(_confirmed(tested, texts, per_cent, tables, "1").unionByName(ties), "links-1")
+    for k in range(2, 2 + STARS):
+        residual = tables.put(_residual(shared, links, tables, str(k)), f"residual-{k}")
+        ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+        degrees = ends.groupBy("node").agg(F.count("*").alias("links"))
+        ranked = residual.join(degrees, "node", "left").select("bucket", "node", "component", F.coalesce("links", F.lit(0)).alias("links"))
+        hubs = ranked.groupBy("bucket").agg(F.max(F.struct("links", (-F.col("node")).alias("minus"), "component")).alias("hub"))
+        star = ranked.join(hubs, "bucket").where(F.col("component") != F.col("hub.component"))
+        pairs = star.select(F.least("node", -F.col("hub.minus")).alias("a"), F.greatest("node", -F.col("hub.minus")).alias("b")).distinct()
+        new = tables.put(_probable(pairs.join(tested, ["a", "b"], "left_anti"), nodes, per_cent), f"pairs-{k}")
+        tested = tested.unionByName(new)
+        links = tables.put(links.unionByName(_confirmed(new, texts, per_cent, tables, str(k))), f"links-{k}")
+    residual = tables.put(_residual(shared, links, tables, "last"), "residual-last")
+    edges = links.unionByName(_cross_links(residual, nodes, texts, per_cent, tables))
+    whole = components(edges, tables, "last")
     of_class = (
         classes.join(whole, "node", "left")
         .select("digest", F.coalesce("component", "node").alias("__component"))

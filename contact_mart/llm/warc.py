@@ -33,6 +33,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNKS = "record long, page_id long, url string, chunk int, data binary, payload_bytes long, payload_digest string"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 SALTS = 32
+MOST_TASKS = 10_000
 
 
 def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -257,7 +258,8 @@ def read_archives(manifest: DataFrame, chunks: bool = False) -> DataFrame:
             yield _arrow(held, schema)
 
     ddl = "page_id long, chunk int, data binary" if chunks else RECORDS
-    return manifest.select("file").repartition("file").mapInArrow(read, ddl)
+    files = manifest.count()
+    return manifest.select("file").repartition(max(1, min(files, MOST_TASKS))).mapInArrow(read, ddl)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, tables: Tables | None = None) -> DataFrame:
