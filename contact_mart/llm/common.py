@@ -16,6 +16,7 @@ from contact_mart.session import Workspace
 # Whitespace of the word rules, as the characters of a regex class: \x20 and \x09 to \x0D.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+SENT_IDS = 2_000_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -66,6 +67,15 @@ class Tables(Workspace):
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def texts_of(docs: DataFrame, ids: DataFrame, tables: Tables, name: str) -> DataFrame:
+    """doc and text of the documents in ``ids`` (doc), written down so that other texts move once at most.
+
+    Up to SENT_IDS ids, of 8 bytes each, are sent to the tasks that read the documents; more are joined by exchange."""
+    ids = tables.put(ids.distinct(), f"ids-{name}")
+    side = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+    return tables.put(docs.join(side, "doc", "left_semi").select("doc", "text"), f"texts-{name}")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value evaluated once per row."""
     return F.transform(F.array(value), body)[0]

@@ -26,15 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contact_mart.llm.common import Tables, mixed, prepare, shingle_hashes
+from contact_mart.llm.common import Tables, mixed, prepare, shingle_hashes, texts_of
 from contact_mart.llm.components import components
 
 HASHES, BANDS, BATCH = 128, 32, 16
 # Probability with which a pair of at least the threshold may be dropped by its signature.
 MISS = 1e-6
 BLOCK, BLOCK_BYTES, MOST_CLUSTERED = 512, 16 << 20, 8192
-# Ids (8 bytes each) sent to the tasks that read the texts; more are joined by exchange.
-SENT_IDS = 2_000_000
 # Passes in which a bucket is compared with its most linked class before the residual pass.
 STARS = 2
 _RNG = np.random.default_rng(20240501)
@@ -148,9 +146,8 @@ def _cross_links(residual: DataFrame, classes: DataFrame, docs: DataFrame, per_c
         .otherwise(F.struct(F.lit(1).alias("kind"), F.col("bucket").alias("id"))).alias("group"),
         "node", "component",
     ).distinct()
-    ids = tables.put(residual.select(F.col("node").alias("doc")).distinct(), "nodes-last")
-    side = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
-    texts = tables.put(docs.join(side, "doc", "left_semi").select(F.col("doc").alias("node"), "text").dropDuplicates(["node"]), "texts-last")
+    texts = texts_of(docs, residual.select(F.col("node").alias("doc")), tables, "last")
+    texts = texts.select(F.col("doc").alias("node"), "text").dropDuplicates(["node"])
     member = tables.put(member.join(texts.select("node", F.octet_length("text").alias("bytes")), "node"), "members")
     blocks = member.groupBy("group").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
@@ -215,10 +212,8 @@ def linked(one: np.ndarray, two: np.ndarray, per_cent: int) -> bool:
 def _confirmed(pairs: DataFrame, docs: DataFrame, per_cent: int, tables: Tables, name: str) -> DataFrame:
     """Pairs whose whole shingle sets reach the threshold. The texts of their documents are written down once, so that
     the others' texts move once at most."""
-    nodes = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    nodes = tables.put(nodes, f"nodes-{name}")
-    side = F.broadcast(nodes) if nodes.count() <= SENT_IDS else nodes
-    texts = tables.put(docs.join(side, "doc", "left_semi"), f"texts-{name}")
+    nodes = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
+    texts = texts_of(docs, nodes, tables, name)
     left = texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
 
