@@ -35,10 +35,12 @@ def full_run(
     tune(spark)
     p = replace(p, start=None)
     workspace = Workspace(spark)
-    write_layer(build_calculated(src, p, overrides), paths.calculated)
-    write_layer(build_intermedia(read_layer(spark, paths.calculated)), paths.intermedia)
-    write_layer(build_third(read_layer(spark, paths.intermedia), src, p, workspace), paths.third)
-    workspace.close()
+    try:
+        write_layer(build_calculated(src, p, overrides), paths.calculated)
+        write_layer(build_intermedia(read_layer(spark, paths.calculated)), paths.intermedia)
+        write_layer(build_third(read_layer(spark, paths.intermedia), src, p, workspace), paths.third)
+    finally:
+        workspace.close()
 
 
 def incremental_run(
@@ -51,13 +53,17 @@ def incremental_run(
     """
     tune(spark)
     p = p.incremental() if p.start is None else p
+    if p.start.day != 1:
+        raise ValueError(f"the window starts on {p.start}: weights are of whole months, so it must start with a month")
     workspace = Workspace(spark)
-    replace_where(build_calculated(src, p, overrides), paths.calculated, p.start)
-    calculated = read_layer(spark, paths.calculated)
-    if p.whole_conversations:
-        p = replace(p, start=whole_conversation_start(calculated, p.start))
-    replace_where(build_intermedia(calculated, p), paths.intermedia, p.start)
-    intermedia = read_layer(spark, paths.intermedia).where(F.col("call_date") >= F.lit(p.start))
-    replace_where(build_third(intermedia, src, p, workspace), paths.third, p.start)
-    workspace.close()
+    try:
+        replace_where(build_calculated(src, p, overrides), paths.calculated, p.start)
+        calculated = read_layer(spark, paths.calculated)
+        if p.whole_conversations:
+            p = replace(p, start=whole_conversation_start(calculated, p.start))
+        replace_where(build_intermedia(calculated, p), paths.intermedia, p.start)
+        intermedia = read_layer(spark, paths.intermedia).where(F.col("call_date") >= F.lit(p.start))
+        replace_where(build_third(intermedia, src, p, workspace), paths.third, p.start)
+    finally:
+        workspace.close()
     return p.start

@@ -61,9 +61,11 @@ def _folder(spark: SparkSession, path: str):
 
 
 def _window_files(spark: SparkSession, path: str, day: str, start: date) -> dict[str, set[str]]:
-    """File names per day folder of the window (a listing of names, no data)."""
+    """File names per day folder of the window (a listing of names, no data). A table that is not there has none."""
     folder, fs = _folder(spark, path)
     found = {}
+    if not fs.exists(folder):
+        return found
     for status in fs.listStatus(folder):
         name = status.getPath().getName()
         value = name.removeprefix(f"{day}=")
