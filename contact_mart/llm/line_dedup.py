@@ -193,9 +193,10 @@ class LineIndex:
     def _screened_by_shard(self) -> DataFrame:
         """The same with each filter joined to the rows of its shard, a partial filter of the size of one shard a row."""
         slot_of = self.refs.withColumn("shard", F.pmod("hi", F.lit(self.shards)))
+        # No nulls in the long columns: pandas would make them floats, which cannot hold 64-bit hashes.
         with_head = self.filters.select(
             "shard", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"), F.lit(0).alias("kind"), "slots", "spare",
-            *[F.lit(None).cast(t).alias(c) for c, t in self.refs.dtypes],
+            *[F.lit(0).cast(t).alias(c) for c, t in self.refs.dtypes],
         )
         rows = slot_of.select(
             "shard", F.pmod(F.xxhash64("doc"), F.lit(16)).cast("int").alias("salt"), F.lit(1).alias("kind"),

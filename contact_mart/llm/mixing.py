@@ -58,7 +58,8 @@ def tempered(present: DataFrame, dimension: str, exponent: float) -> DataFrame:
 
 def raked(present: DataFrame, targets: dict[str, DataFrame], tables: Tables, name: str = "raked") -> DataFrame:
     """The cells with ``share``: raked shares, summing to 1. A value without a target gets 0; a target without cells is
-    left out and the others of its dimension share its part."""
+    left out and the others of its dimension share its part. Targets that contradict each other (a source and a language
+    that are the same documents, with different shares) end after MOST_ROUNDS, with the last dimension met."""
     goal = present
     for d, target in targets.items():
         wanted = tables.put(target.select(F.col("value").alias("__v"), F.col("target").cast("double").alias("__t")), f"{name}-{d}")
