@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contact_mart.checks.registry import Context, register, rounded
-from contact_mart.checks.steps import gap, ym
+from contact_mart.checks.steps import bare, gap, ym
 from contact_mart.functions import dates
 from contact_mart.operators import aggregates, joins, scaling
 from contact_mart.operators.dedup import best_queue_row
@@ -23,7 +23,7 @@ register(
         best_queue_row(c.src["queue_dictionary"]).select("queue_key", "ID_Cola", "Gerencia"),
         "queue_key",
     ),
-    """SELECT conversation_id, queue_name, ID_Cola, Gerencia FROM in_segments LEFT JOIN queue_one ON queue_key = trim(queue_name)""",
+    f"""SELECT conversation_id, queue_name, ID_Cola, Gerencia FROM in_segments LEFT JOIN queue_one ON queue_key = {bare('queue_name')}""",
 )
 register(
     "left_join_plain",
@@ -131,8 +131,8 @@ register(
         results.chat_outcomes(c.src),
         CONVERSATION,
     ),
-    """SELECT 'c' || o_orderkey AS conversation_id, t.tip, f.fcr_ai FROM orders
-       LEFT JOIN (SELECT DISTINCT conversationid, trim(tip) AS tip FROM in_chat_indicators) t ON t.conversationid = 'c' || o_orderkey
+    f"""SELECT 'c' || o_orderkey AS conversation_id, t.tip, f.fcr_ai FROM orders
+       LEFT JOIN (SELECT DISTINCT conversationid, {bare('tip')} AS tip FROM in_chat_indicators) t ON t.conversationid = 'c' || o_orderkey
        LEFT JOIN (SELECT DISTINCT conversationid, fcr_ai FROM in_chat_indicators) f ON f.conversationid = 'c' || o_orderkey""",
 )
 register(

@@ -11,6 +11,7 @@ from contact_mart.checks.q_joins import ORDER_SHARE_SQL, WEIGHTED_ORDERS_SQL, _m
 from contact_mart.checks.q_rows import FIRST, LAST, PROCESS
 from contact_mart.checks.registry import Context, agents_text, flat, register, rounded
 from contact_mart.checks.steps import agents_text as agents_sql
+from contact_mart.checks.steps import bare
 from contact_mart.checks.steps import names_text as names_sql
 from contact_mart.checks.steps import segments_text as segments_sql
 from contact_mart.functions import rules
@@ -149,8 +150,8 @@ def fcr_rows(c: Context):
 register(
     "fcr_flag",
     fcr_rows,
-    """SELECT r.conversation_id, participant_id, CAST(CASE WHEN trim(is_first_call_resolution) = 'true' THEN 1 WHEN trim(is_first_call_resolution) = 'false' THEN 0
-              WHEN length(r.conversation_id) % 3 = 0 THEN NULL WHEN trim(fcr_ai) = 'resuelve' THEN 1
+    f"""SELECT r.conversation_id, participant_id, CAST(CASE WHEN {bare('is_first_call_resolution')} = 'true' THEN 1 WHEN {bare('is_first_call_resolution')} = 'false' THEN 0
+              WHEN length(r.conversation_id) % 3 = 0 THEN NULL WHEN {bare('fcr_ai')} = 'resuelve' THEN 1
               WHEN fcr_ai IS NULL OR fcr_ai = 'other' THEN NULL ELSE 0 END AS INTEGER) AS fcr
        FROM in_whatsapp_resolution r LEFT JOIN (SELECT DISTINCT conversationid, fcr_ai FROM in_chat_indicators) i ON i.conversationid = r.conversation_id""",
 )

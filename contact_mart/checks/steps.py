@@ -30,6 +30,12 @@ def ym(day: str) -> str:
     return f"CAST(strftime({day}, '%Y%m') AS INTEGER)"
 
 
+def bare(column: str) -> str:
+    """The text without Unicode white space at its ends."""
+    space = r"[\s\p{Z}\x0B\x{85}]+"
+    return f"regexp_replace({column}, '^{space}|{space}$', '', 'g')"
+
+
 def gap(period: str, day: str) -> str:
     return f"abs(({period} // 100 - year({day})) * 12 + {period} % 100 - month({day}))"
 
@@ -85,24 +91,24 @@ STEPS |= {
         SELECT * FROM in_segments
         WHERE conversation_date BETWEEN {MIN} AND {AS_OF} AND factory_name IN ({quoted(PARAMS.factories)})
           AND originating_direction_type = 'inbound' AND talk_time_second IS NOT NULL
-          AND NOT contains(upper(queue_name), 'CARGO') AND trim(queue_name) NOT IN ({quoted(PARAMS.denied_queues)})""",
+          AND NOT contains(upper(queue_name), 'CARGO') AND {bare('queue_name')} NOT IN ({quoted(PARAMS.denied_queues)})""",
     "seg_one": """
         SELECT DISTINCT conversation_id, conversation_date AS call_date, queue_name AS skill_name, factory_name,
                talk_time_second + coalesce(held_time_second, 0) + coalesce(after_call_work_time_second, 0) AS aht,
                message_type, agent_bp_number AS bp_executive_num, agent_id, sag_name
         FROM seg_kept""",
     "queue_one": f"""
-        SELECT trim(Nombre_de_Cola) AS queue_key, * EXCLUDE (Nombre_de_Cola, Fabrica), Fabrica AS Fabrica_dic
+        SELECT {bare('Nombre_de_Cola')} AS queue_key, * EXCLUDE (Nombre_de_Cola, Fabrica), Fabrica AS Fabrica_dic
         FROM in_queue_dictionary
-        QUALIFY row_number() OVER (PARTITION BY trim(Nombre_de_Cola) ORDER BY {_filled('Gerencia')}, {_filled('ID_Cola')},
+        QUALIFY row_number() OVER (PARTITION BY {bare('Nombre_de_Cola')} ORDER BY {_filled('Gerencia')}, {_filled('ID_Cola')},
             CASE WHEN Cola_con_Demanda = 'SI' THEN 0 ELSE 1 END, {_filled('SubGerente')}, {_filled('Script')},
             {', '.join(c + ' NULLS FIRST' for c in _DICTIONARY)}) = 1""",
     "market_one": f"""
         SELECT conversation_id, min(market_code) AS market_code FROM in_bot_sessions
         WHERE conversation_start_datetime >= {MIN} AND conversation_start_datetime < {AS_OF} + 1 GROUP BY ALL""",
-    "seg_rich": """
+    "seg_rich": f"""
         SELECT s.*, q.* EXCLUDE (queue_key), m.market_code FROM seg_one s
-        LEFT JOIN queue_one q ON q.queue_key = trim(s.skill_name) LEFT JOIN market_one m USING (conversation_id)""",
+        LEFT JOIN queue_one q ON q.queue_key = {bare('s.skill_name')} LEFT JOIN market_one m USING (conversation_id)""",
     "user_one": "SELECT participant_id, max(user_id) AS agent_id FROM in_participant_sessions GROUP BY ALL",
     "cat_all": f"""
         SELECT c.conversation_id, u.agent_id, {_LEVELS}
@@ -128,7 +134,7 @@ STEPS |= {
         LEFT JOIN (FROM cat_best WHERE agent_id IS NULL) o ON o.conversation_id = s.conversation_id""",
     "ticket_kept": f"""
         SELECT * FROM in_tickets
-        WHERE year(created_dt) IN ({', '.join(map(str, PARAMS.ticket_years))})
+        WHERE created_dt >= {MIN}
           AND NOT regexp_matches(tag_list, 'monoquebrado|multiquebrado') AND NOT contains(tag_list, 'project_child')
           AND upper(agent_name) <> '{SYSTEM_AGENT}' AND NOT contains(upper(subject_desc), 'TEST GOPE')
           AND NOT regexp_matches(agent_group_name, '(?i)SOPORTE|SUPORTE')
@@ -251,14 +257,14 @@ STEPS |= {
         SELECT m.*, coalesce(f.factor, 1) AS factor FROM mt m
         LEFT JOIN fac f ON f.canal = m.canal AND f.mes = strftime(m.call_date, '%Y-%m') AND f.is_human = m.is_human
           AND (f.zona IS NULL OR f.zona = m.zona)""",
-    "casc": """
+    "casc": f"""
         SELECT w.* EXCLUDE (second_category, third_category, cat_bot, cat_pca),
                CASE WHEN w.canal = 'cases' THEN t.second_category ELSE w.second_category END AS second_category,
                CASE WHEN w.canal = 'cases' THEN t.third_category ELSE w.third_category END AS third_category,
                coalesce(CASE WHEN w.canal = 'cases' THEN t.first_category END, w.cat_pca, w.cat_bot, i.tip) AS category,
                coalesce(w.canal IN ('cases', 'voz') AND CASE WHEN w.canal = 'cases' THEN t.first_category END IS NULL
                  AND w.cat_pca IS NULL AND coalesce(w.cat_bot, i.tip) IS NOT NULL, false) AS kept_bot_category
-        FROM weighted w LEFT JOIN (SELECT DISTINCT conversationid AS conversation_id, trim(tip) AS tip FROM in_chat_indicators) i USING (conversation_id)
+        FROM weighted w LEFT JOIN (SELECT DISTINCT conversationid AS conversation_id, {bare('tip')} AS tip FROM in_chat_indicators) i USING (conversation_id)
         LEFT JOIN in_ticket_categories t USING (conversation_id)""",
     "social": """
         SELECT 'rrss' AS conversation_id, CAST(mes || '-01' AS DATE) AS call_date, ['NO_FACTORY'] AS factory_name, canal AS channel_type,
@@ -326,10 +332,10 @@ STEPS |= {
     "rich": f"""
         SELECT b.*, coalesce(k.code, 'OT') AS country_code,
                CASE WHEN b.canal = 'voz' THEN b.agent_aht ELSE b.agent_aht / nullif(b.factor, 0) END AS aht, v.nps, b.factor AS factor_pca,
-               CASE WHEN b.canal = 'cases' THEN CASE trim(tr.is_first_call_resolution) WHEN 'true' THEN 1 WHEN 'false' THEN 0 END
-                    WHEN trim(r.is_first_call_resolution) IN ('true', 'false') THEN CASE WHEN trim(r.is_first_call_resolution) = 'true' THEN 1 ELSE 0 END
-                    WHEN trim(o.fcr_ai) = 'resuelve' THEN 1
-                    WHEN trim(o.fcr_ai) IN ('deriva', 'crea caso', 'agente deja de contestar', 'short', 'no se puede hacer', 'posterga',
+               CASE WHEN b.canal = 'cases' THEN CASE {bare('tr.is_first_call_resolution')} WHEN 'true' THEN 1 WHEN 'false' THEN 0 END
+                    WHEN {bare('r.is_first_call_resolution')} IN ('true', 'false') THEN CASE WHEN {bare('r.is_first_call_resolution')} = 'true' THEN 1 ELSE 0 END
+                    WHEN {bare('o.fcr_ai')} = 'resuelve' THEN 1
+                    WHEN {bare('o.fcr_ai')} IN ('deriva', 'crea caso', 'agente deja de contestar', 'short', 'no se puede hacer', 'posterga',
                                             'falla sistema', 'recontacto', 'no se puede determinar') THEN 0 END AS fcr,
                CASE WHEN b.canal = 'cases' THEN tr.reason_resolution_fcr ELSE r.reason_resolution_fcr END AS reason_resolution_fcr,
                q.nota_calidad, b.agent_bp AS last_agent_bp_number, n.agent_name AS last_agent_name,

@@ -26,9 +26,19 @@ COMPLIANCE_WEIGHTS = (
     "m7_service_confirmation_weight",
     "m8_farewell_weight",
 )
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 WEIGHTED_CANALS = ("wsp", "voz", "chat")
 
 
+def stripped(text: Column) -> Column:
+    """The text without white space at its ends, of every kind; ``trim`` takes blanks alone."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
 def handling_time(talk: Column, held: Column, after: Column) -> Column:
     zero = F.lit(0)
     return talk + F.coalesce(held, zero) + F.coalesce(after, zero)
@@ -78,12 +88,12 @@ def joined_text(*parts: Column) -> Column:
 
 
 def true_false(flag: Column) -> Column:
-    text = F.trim(flag.cast("string"))
+    text = stripped(flag.cast("string"))
     return F.when(text == "true", 1).when(text == "false", 0)
 
 
 def outcome_flag(text: Column) -> Column:
-    clean = F.trim(text)
+    clean = stripped(text)
     return F.when(clean == SOLVED_OUTCOME, 1).when(clean.isin(*UNSOLVED_OUTCOMES), 0)
 
 

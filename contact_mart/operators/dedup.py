@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contact_mart.functions.rules import stripped
+
 
 def top1(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
     """First row per key. The rank filter becomes a group limit before the shuffle,
@@ -51,7 +53,7 @@ def filled(name: str) -> Column:
 
 def best_queue_row(dictionary: DataFrame) -> DataFrame:
     """Most complete dictionary row per trimmed queue name."""
-    keyed = dictionary.withColumn("queue_key", F.trim("Nombre_de_Cola"))
+    keyed = dictionary.withColumn("queue_key", stripped(F.col("Nombre_de_Cola")))
     completeness = [
         filled("Gerencia"),
         filled("ID_Cola"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from contact_mart import params as fixed
 from contact_mart.functions import dates
+from contact_mart.functions.rules import stripped
 from contact_mart.params import Params
 
 
@@ -33,7 +34,7 @@ def filter_segments(segments: DataFrame, p: Params) -> DataFrame:
         & (F.col("originating_direction_type") == "inbound")
         & F.col("talk_time_second").isNotNull()
         & ~F.upper(queue).like(p.denied_queue_like)
-        & ~F.trim(queue).isin(*p.denied_queues)
+        & ~stripped(queue).isin(*p.denied_queues)
     )
 
 
@@ -42,9 +43,10 @@ def filter_tickets(tickets: DataFrame, p: Params) -> DataFrame:
     group, form, tags = F.col("agent_group_name"), F.upper("contact_form_name"), F.col("tag_list")
     special = group == fixed.EXCEPTION_GROUP
     usual_form = ~special & ~form.isin(*fixed.DENIED_FORMS)
-    created = cut(tickets, "created_dt", p.start) if p.start else tickets.where(
-        dates.in_years(F.col("created_dt"), p.ticket_years)
-    )
+    if p.start or p.ticket_years is None:
+        created = cut(tickets, "created_dt", p.facts_from)
+    else:
+        created = tickets.where(dates.in_years(F.col("created_dt"), p.ticket_years))
     return created.where(
         ~tags.rlike(fixed.DENIED_TAGS_REGEX)
         & ~tags.like(fixed.DENIED_TAGS_LIKE)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contact_mart.functions.rules import stripped
 from contact_mart.functions import dates
 from contact_mart.operators.dedup import top1
 
@@ -25,7 +26,7 @@ def left_lookup(left: DataFrame, right: DataFrame, on: dict[str, str]) -> DataFr
 
 def left_lookup_trimmed(left: DataFrame, key: str, right: DataFrame, trimmed_key: str) -> DataFrame:
     """LEFT equi join of a padded text key to an already trimmed one."""
-    return left_lookup(left.withColumn("_key", F.trim(key)), right, {"_key": trimmed_key}).drop("_key")
+    return left_lookup(left.withColumn("_key", stripped(F.col(key))), right, {"_key": trimmed_key}).drop("_key")
 
 
 def exact_or_fallback(

@@ -51,8 +51,10 @@ class Params:
     as_of: date = field(default_factory=date.today)
     min_date: date = date(2024, 1, 1)
     cutover: date = date(2026, 1, 1)
-    ticket_years: tuple[int, ...] = (2024, 2025, 2026)
-    label_years: tuple[int, ...] = (2024, 2025)
+    # Full rebuild: years of the tickets that stay. None: all from ``min_date`` on.
+    ticket_years: tuple[int, ...] | None = None
+    # Years that the labels of the wide demand table may name. None: from ``min_date`` to ``as_of``.
+    label_years: tuple[int, ...] | None = None
     factories: tuple[str, ...] = FACTORIES
     denied_queues: tuple[str, ...] = DENIED_QUEUES
     denied_queue_like: str = "%CARGO%"
@@ -85,6 +87,6 @@ class Params:
     def month_label_rows(self) -> list[tuple[str, str]]:
         return [
             (f"{name}{year % 100:02d}", f"{year}-{number:02d}")
-            for year in self.label_years
+            for year in self.label_years or range(self.min_date.year, self.as_of.year + 1)
             for number, name in enumerate(MONTH_LABELS, start=1)
         ]

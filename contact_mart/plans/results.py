@@ -56,7 +56,7 @@ def main_table(intermedia: DataFrame, p: Params | None = None) -> DataFrame:
 
 def chat_tips(src: Sources) -> DataFrame:
     return src["chat_indicators"].select(
-        F.col("conversationid").alias("conversation_id"), F.trim("tip").alias("tip")
+        F.col("conversationid").alias("conversation_id"), rules.stripped(F.col("tip")).alias("tip")
     ).distinct()
 
 

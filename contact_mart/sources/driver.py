@@ -24,8 +24,6 @@ PARAMS = Params(
     as_of=date(2001, 6, 15),
     min_date=date(1995, 2, 1),
     cutover=date(1999, 1, 1),
-    ticket_years=(1995, 1996, 1997, 1999, 2000, 2001),
-    label_years=(1995, 1996, 1997, 1998),
     factories=tuple(f"F{n}" for n in range(8)),
     denied_queues=("Q_7", "Q_13"),
 )
@@ -84,7 +82,7 @@ def _resolution(spoken: bool) -> str:
     return f"""
 SELECT 'c' || l_orderkey AS conversation_id,
        CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE {_PARTICIPANT} END AS participant_id,
-       {_pick('l_partkey', 'true', ' false ', None, 'unknown', ' true')} AS is_first_call_resolution,
+       {_pick('l_partkey', 'true', ' false ', None, 'unknown', '\ttrue', 'false\n')} AS is_first_call_resolution,
        'reason ' || (l_partkey % 6) AS reason_resolution_fcr,
        o_orderdate + INTERVAL '1' HOUR * l_linenumber AS load_datetime
 FROM {_LINES} WHERE {'' if spoken else 'NOT '}{_SPOKEN}"""
@@ -112,6 +110,7 @@ INPUTS = {
 SELECT 'c' || l_orderkey AS conversation_id, CAST(o_orderdate AS DATE) AS conversation_date,
        CASE WHEN l_partkey % 97 = 0 THEN NULL
             WHEN l_partkey % 41 = 0 THEN 'Q_Cargo_' || (l_partkey % 40)
+            WHEN l_partkey % 15 = 0 THEN 'Q_' || (l_partkey % 40) || '\u00a0\n'
             WHEN l_partkey % 5 = 0 THEN 'Q_' || (l_partkey % 40) || ' '
             ELSE 'Q_' || (l_partkey % 40) END AS queue_name,
        'F' || (l_suppkey % 10) AS factory_name,
@@ -125,7 +124,7 @@ SELECT 'c' || l_orderkey AS conversation_id, CAST(o_orderdate AS DATE) AS conver
        CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 'outbound' ELSE 'inbound' END AS originating_direction_type
 FROM {_LINES}""",
     "queue_dictionary": """
-SELECT CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE '' END || 'Q_' || (p_partkey % 40) AS Nombre_de_Cola,
+SELECT CASE WHEN p_partkey % 7 = 0 THEN '\t ' ELSE '' END || 'Q_' || (p_partkey % 40) AS Nombre_de_Cola,
        'canal ' || (p_partkey % 3) AS Canal_de_Atencion, p_type AS Departamento_SAG, p_brand AS Division,
        'fab ' || (p_partkey % 6) AS Fabrica,
        CASE WHEN p_size % 4 = 0 THEN NULL ELSE 'ID' || p_partkey END AS ID_Cola,
@@ -235,8 +234,8 @@ SELECT CAST(o_orderdate AS DATE) AS date,
 FROM {{orders}}""",
     "chat_indicators": f"""
 SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'c' ELSE 'y' END || o_orderkey AS conversationid,
-       {_pick('o_orderkey', ' VENTAS ', 'LOGIN', 'zzz ', None)} AS tip,
-       {_pick('o_orderkey', 'resuelve ', 'deriva', 'crea caso', 'agente deja de contestar', 'short', ' no se puede hacer', 'posterga', 'falla sistema', 'recontacto', 'no se puede determinar', 'other', None)} AS fcr_ai
+       {_pick('o_orderkey', ' VENTAS ', 'LOGIN', 'zzz ', None, '\u00a0LOGIN\n')} AS tip,
+       {_pick('o_orderkey', 'resuelve \n', 'deriva', 'crea caso', 'agente deja de contestar', 'short', ' no se puede hacer', 'posterga', 'falla sistema', 'recontacto', 'no se puede determinar', 'other', None)} AS fcr_ai
 FROM {{orders}}
 UNION ALL
 SELECT 'c' || event_id, {_pick('event_id', 'LOGIN', 'CANJE')}, {_pick('event_id', 'resuelve', 'deriva', None)}
@@ -279,7 +278,7 @@ FROM (SELECT c_custkey, c_name, c_custkey % (SELECT count(*) FROM {supplier}) AS
     "whatsapp_resolution": _resolution(False),
     "ticket_resolution": f"""
 SELECT 't' || doc_id AS conversation_id, CAST(NULL AS STRING) AS participant_id,
-       {_pick('doc_id', 'true', 'false', ' true ', None)} AS is_first_call_resolution,
+       {_pick('doc_id', 'true', 'false', ' true \n', None)} AS is_first_call_resolution,
        CASE WHEN doc_id % 6 = 0 THEN NULL ELSE 'ticket reason ' || (doc_id % 6) END AS reason_resolution_fcr,
        CAST({_day('doc_id')} AS TIMESTAMP) AS load_datetime
 FROM {{documents}}
