@@ -57,7 +57,7 @@ STAGES = [
     ("benchmark decontamination", benchmark),
     ("mixing", mixture),
 ]
-# The classifier and the min-hashes cannot be said in SQL; tests/llm/test_pipeline.py has plain versions.
+# The classifier and the min-hashes cannot be said in SQL; tests/llm/brute.py has plain versions of the operators.
 ORACLE_SQL = None
 
 
