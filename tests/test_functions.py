@@ -151,6 +151,7 @@ def test_tenure_labels_of_both_versions(spark, rows):
 
 
 def test_month_labels_follow_the_years():
-    labels = dict(Params().month_label_rows())
+    labels = dict(Params(label_years=(2024, 2025)).month_label_rows())
     assert len(labels) == 24
     assert (labels["Ene24"], labels["Apr24"], labels["Dec25"]) == ("2024-01", "2024-04", "2025-12")
+    assert len(Params(as_of=date(2026, 5, 1)).month_label_rows()) == 36
