@@ -8,8 +8,8 @@
 4. What is left is confirmed on the whole shingle sets.
 
 Candidates come in passes, so that a bucket of n classes does not cost n * n comparisons. The first compares every
-class of a bucket with the smallest one; the confirmed links give components. The next ones take the buckets whose classes
-are in different components still and compare them with their most linked class, which is the original where copies
+class of a bucket with the smallest one; the confirmed links give components. The next one takes the buckets whose classes
+are in different components still and compares them with their most linked class, which is the original where copies
 were made of it. The last one compares what is left: all pairs of such a bucket that are in different components, since
 links inside one would add nothing. They are tested and confirmed where they meet, so no table of pairs is made.
 """
@@ -33,8 +33,8 @@ HASHES, BANDS, BATCH = 128, 32, 16
 # Probability with which a pair of at least the threshold may be dropped by its signature.
 MISS = 1e-6
 BLOCK, BLOCK_BYTES, MOST_CLUSTERED = 512, 16 << 20, 8192
-# Passes in which a bucket is compared with its most linked class before the residual pass.
-STARS = 2
+# Passes in which a bucket is compared with its most linked class before the residual pass, which takes all that is left.
+STARS = 1
 _RNG = np.random.default_rng(20240501)
 _A = (_RNG.integers(0, 1 << 31, HASHES, np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, HASHES, np.uint32)
@@ -233,9 +233,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, per_cent: int, tables: Tables,
     return pairs.join(right, "b").join(left, "a").mapInArrow(confirm, "a long, b long")
 
 
-def _residual(shared: DataFrame, links: DataFrame, tables: Tables, name: str) -> DataFrame:
-    """bucket, node, component, n: the rows of buckets whose classes are not all linked by now."""
-    united = tables.put(components(links, tables, f"components-{name}"), f"united-{name}")
+def _residual(shared: DataFrame, united: DataFrame) -> DataFrame:
+    """bucket, node, component, n: the rows of buckets whose classes are not all in one component."""
     placed = shared.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     split = (
         placed.groupBy("bucket")
@@ -276,8 +275,9 @@ def near_duplicates(
     twice = linked.groupBy("doc").agg(F.count_distinct("digest").alias("n")).where("n > 1").select(F.col("doc").alias("b"))
     ties = same_id.join(twice, "b", "left_semi").select("a", "b")
     links = tables.put(_confirmed(tested, texts, per_cent, tables, "1").unionByName(ties), "links-1")
+    united = tables.put(components(links, tables, "components-1"), "united-1")
     for k in range(2, 2 + STARS):
-        residual = tables.put(_residual(shared, links, tables, str(k)), f"residual-{k}")
+        residual = tables.put(_residual(shared, united), f"residual-{k}")
         ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
         degrees = ends.groupBy("node").agg(F.count("*").alias("links"))
         ranked = residual.join(degrees, "node", "left").select("bucket", "node", "component", F.coalesce("links", F.lit(0)).alias("links"))
@@ -286,10 +286,11 @@ def near_duplicates(
         pairs = star.select(F.least("node", -F.col("hub.minus")).alias("a"), F.greatest("node", -F.col("hub.minus")).alias("b")).distinct()
         new = tables.put(_probable(pairs.join(tested, ["a", "b"], "left_anti"), nodes, per_cent), f"pairs-{k}")
         tested = tested.unionByName(new)
-        links = tables.put(links.unionByName(_confirmed(new, texts, per_cent, tables, str(k))), f"links-{k}")
-    residual = tables.put(_residual(shared, links, tables, "last"), "residual-last")
-    edges = links.unionByName(_cross_links(residual, nodes, texts, per_cent, tables))
-    whole = components(edges, tables, "last")
+        found = tables.put(_confirmed(new, texts, per_cent, tables, str(k)), f"links-{k}")
+        links = links.unionByName(found)
+        united = tables.put(components(found, tables, f"components-{k}", united), f"united-{k}")
+    residual = tables.put(_residual(shared, united), "residual-last")
+    whole = components(_cross_links(residual, nodes, texts, per_cent, tables), tables, "last", united)
     of_class = (
         classes.join(whole, "node", "left")
         .select("digest", F.coalesce("component", "node").alias("__component"))
