@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contact_mart.checks.q_joins import ORDER_SHARE_SQL, WEIGHTED_ORDERS_SQL, _main, weighted_orders
 from contact_mart.checks.q_rows import FIRST, LAST, PROCESS
-from contact_mart.checks.registry import Context, agents_text, flat, register, rounded
+from contact_mart.checks.registry import ORACLES, Context, agents_text, flat, register, rounded
 from contact_mart.checks.steps import agents_text as agents_sql
 from contact_mart.checks.steps import bare
 from contact_mart.checks.steps import names_text as names_sql
@@ -254,6 +254,22 @@ register(
     f"SELECT {', '.join(f'{_THIRD_SQL[c]} AS {c}' if c in _THIRD_SQL else c for c in _THIRD)} FROM mart",
 )
 
+
+def third_kept_bot(c: Context):
+    third = results.build_third(c.intermedia, c.src, replace(c.p, kept_bot=True), c.ws)
+    return rounded(flat(third), *_FRACTIONS)
+
+
+register("third_layer_kept_bot", third_kept_bot, None)
+ORACLES["third_layer_kept_bot"] = (
+    ORACLES["third_layer"]
+    .replace("FILTER (category <> 'NOT_CATEGORIZED')", "FILTER (category <> 'NOT_CATEGORIZED' AND NOT kept_bot_category)")
+    .replace("CASE WHEN coalesce(factor, 0) = 0 THEN 0.0", "CASE WHEN coalesce(factor, 0) = 0 OR (kept_bot_category AND is_human = 'HUMAN') THEN 0.0")
+    .replace("DISTINCT * EXCLUDE (lost, kept_bot_category)", "DISTINCT * EXCLUDE (lost)")
+)
+# The last FROM is that of the result.
+ORACLES["third_layer_kept_bot"] = ", kept_bot_category FROM mart".join(ORACLES["third_layer_kept_bot"].rsplit(" FROM mart", 1))
+
 # ---- reports -------------------------------------------------------------------------
 
 register(
@@ -328,7 +344,7 @@ def _by_length() -> list:
 
 def dialogs(c: Context):
     return reports.dialog_sample(
-        c.src["bot_sessions"], reports.chat_texts(c.src["dialogues"]), "message", PROCESS, FIRST, LAST, key=_by_length()
+        c.src["bot_sessions"], reports.chat_texts(c.src["dialogues"]), "message", PROCESS, FIRST, LAST, 40, key=_by_length()
     )
 
 
@@ -339,27 +355,35 @@ register(
        WHERE conversation_start_datetime >= DATE '1995-03-01' AND conversation_start_datetime < DATE '2000-01-01' AND originating_direction_type = 'inbound'
          AND channel_type = 'message' AND voicebot_category_process IN ('SEAT_ASSIGNMENT_PROBLEM', 'CHECK_IN_ERROR')
          AND d.dialog IS NOT NULL AND bp_agent_transferred_bot IS NOT NULL
-       ORDER BY length(d.dialog), b.conversation_id, d.dialog LIMIT 300""",
+       ORDER BY length(d.dialog), b.conversation_id, d.dialog LIMIT 40""",
 )
 register(
     "dialog_sample_voice",
     lambda c: reports.dialog_sample(
-        c.src["bot_sessions"], reports.voice_texts(c.src["summaries"]), "voice", PROCESS, FIRST, LAST, key=_by_length()
+        c.src["bot_sessions"], reports.voice_texts(c.src["summaries"]), "voice", PROCESS, FIRST, LAST, 20, key=_by_length()
     ),
     """SELECT b.conversation_id, text FROM in_bot_sessions b
        JOIN (SELECT conversation_id, agent_action_description || call_reason || resolution_status AS text FROM in_summaries) d ON d.conversation_id = b.conversation_id
        WHERE conversation_start_datetime >= DATE '1995-03-01' AND conversation_start_datetime < DATE '2000-01-01' AND originating_direction_type = 'inbound'
          AND channel_type = 'voice' AND voicebot_category_process IN ('SEAT_ASSIGNMENT_PROBLEM', 'CHECK_IN_ERROR')
          AND text IS NOT NULL AND bp_agent_transferred_bot IS NOT NULL
-       ORDER BY length(text), b.conversation_id, text LIMIT 300""",
+       ORDER BY length(text), b.conversation_id, text LIMIT 20""",
 )
 
 
+# An order over all columns: rows that tie in it are alike, so it does not matter which of them a sample takes.
+def _by_all(*columns: str) -> list:
+    return [(F.round(x, 6) if x == "aht" else F.col(x)).asc_nulls_first() for x in columns]
+
+
+def _sample_sql(select: str, n: int) -> str:
+    return f"SELECT * FROM ({select}) ORDER BY ALL ASC NULLS FIRST LIMIT {n}"
+
+
 def labelled(c: Context):
-    """All rows the sample is drawn from: duplicates share every column, so a cut has no fixed order."""
-    third = c.ws.stage(c.third, "third")
+    key = _by_all("conversation_id", "call_date", "semana", "aht", "fcr", "nps_indicator", "nps", *segments.LEVELS, "text")
     rows = reports.category_label_rows(
-        c.src["summaries"], c.src["voice_categories"], third, "VENTAS", date(1995, 2, 1), date(2000, 6, 30)
+        c.src["summaries"], c.src["voice_categories"], c.third, "VENTAS", date(1995, 2, 1), date(2000, 6, 30), 60, key=key
     )
     return rounded(rows, "aht")
 
@@ -367,20 +391,20 @@ def labelled(c: Context):
 register(
     "labelled_sample",
     labelled,
-    """SELECT s.conversation_id, m.call_date, CAST(weekofyear(m.call_date) AS INTEGER) AS semana, round(m.aht, 0) AS aht, m.fcr,
+    _sample_sql("""SELECT s.conversation_id, m.call_date, CAST(weekofyear(m.call_date) AS INTEGER) AS semana, round(m.aht, 0) AS aht, m.fcr,
               CASE WHEN TRY_CAST(nps AS INTEGER) >= 9 THEN 100 WHEN TRY_CAST(nps AS INTEGER) >= 7 THEN 0 WHEN TRY_CAST(nps AS INTEGER) >= 0 THEN -100 END AS nps_indicator,
               m.nps, c.first_category, c.second_category, c.third_category,
               agent_action_description || ' ' || call_reason || resolution_status || ' ' || first_comment_category || ' ' || second_category_comment || ' ' || third_category_comment AS text
        FROM in_summaries s JOIN in_voice_categories c ON c.conversation_id = s.conversation_id LEFT JOIN mart m ON m.conversation_id = s.conversation_id
-       WHERE s.load_datetime BETWEEN TIMESTAMP '1995-02-01' AND TIMESTAMP '2000-06-30' AND c.first_category = 'VENTAS'""",
+       WHERE s.load_datetime BETWEEN TIMESTAMP '1995-02-01' AND TIMESTAMP '2000-06-30' AND c.first_category = 'VENTAS'""", 60),
 )
 
 
 def voice_labels(c: Context):
-    third = c.ws.stage(c.third, "third")
+    key = _by_all("conversation_id", "call_date", "semana", "aht", "fcr", "nps", "voicebot_category_process", "text")
     rows = reports.voice_label_rows(
-        c.src["summaries"], c.src["voice_categories"], third, c.src["bot_sessions"], c.src["bot_transcriptions"],
-        "SERVICIOS_ESPECIALES", ("FRANQUICIA_EQUIPAJE", "INFO_VUELO"), date(1995, 2, 1), date(2000, 6, 30),
+        c.src["summaries"], c.src["voice_categories"], c.third, c.src["bot_sessions"], c.src["bot_transcriptions"],
+        "SERVICIOS_ESPECIALES", ("FRANQUICIA_EQUIPAJE", "INFO_VUELO"), date(1995, 2, 1), date(2000, 6, 30), 20, key=key,
     )
     return rounded(rows, "aht")
 
@@ -388,12 +412,12 @@ def voice_labels(c: Context):
 register(
     "labelled_sample_voice",
     voice_labels,
-    """SELECT s.conversation_id, m.call_date, CAST(weekofyear(m.call_date) AS INTEGER) AS semana, round(m.aht, 6) AS aht, m.fcr, m.nps,
+    _sample_sql("""SELECT s.conversation_id, m.call_date, CAST(weekofyear(m.call_date) AS INTEGER) AS semana, round(m.aht, 6) AS aht, m.fcr, m.nps,
               r.voicebot_category_process, agent_action_description || call_reason || resolution_status AS text
        FROM in_summaries s LEFT JOIN in_voice_categories c ON c.conversation_id = s.conversation_id LEFT JOIN mart m ON m.conversation_id = s.conversation_id
        LEFT JOIN in_bot_sessions r ON r.conversation_id = s.conversation_id LEFT JOIN in_bot_transcriptions b ON b.conversation_id = s.conversation_id
        WHERE s.load_datetime BETWEEN TIMESTAMP '1995-02-01' AND TIMESTAMP '2000-06-30' AND m.category = 'SERVICIOS_ESPECIALES'
-         AND m.second_category IN ('FRANQUICIA_EQUIPAJE', 'INFO_VUELO') AND m.is_hvc = 0""",
+         AND m.second_category IN ('FRANQUICIA_EQUIPAJE', 'INFO_VUELO') AND m.is_hvc = 0""", 20),
 )
 register(
     "aht_reports",

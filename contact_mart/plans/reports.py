@@ -158,8 +158,11 @@ def voice_label_rows(
     second: tuple[str, ...],
     first_day: date,
     last_day: date,
+    n: int = 300,
+    seed: int | None = None,
+    key: list[Column] | None = None,
 ) -> DataFrame:
-    """Summaries of one category with indicators; rows multiply over categories, bots and texts."""
+    """n summaries of one category with indicators; rows multiply over categories, bots and texts."""
     chosen = mart_columns(mart, "call_date", "aht", "fcr", "nps", "category", "second_category", "is_hvc").where(
         (F.col("mart_category") == category)
         & F.col("mart_second_category").isin(*second)
@@ -169,7 +172,7 @@ def voice_label_rows(
     rows = joins.left_lookup(rows, categories.select("conversation_id"), CONVERSATION)
     rows = joins.left_lookup(rows, bots.select("conversation_id", "voicebot_category_process"), CONVERSATION)
     rows = joins.left_lookup(rows, transcriptions.select("conversation_id"), CONVERSATION)
-    return rows.select(
+    rows = rows.select(
         "conversation_id",
         F.col("mart_call_date").alias("call_date"),
         F.weekofyear("mart_call_date").alias("semana"),
@@ -181,12 +184,21 @@ def voice_label_rows(
             F.col("agent_action_description"), F.col("call_reason"), F.col("resolution_status")
         ).alias("text"),
     )
+    return sampling.sample_n(rows, n, seed, key)
 
 
 def category_label_rows(
-    summaries: DataFrame, categories: DataFrame, mart: DataFrame, category: str, first_day: date, last_day: date
+    summaries: DataFrame,
+    categories: DataFrame,
+    mart: DataFrame,
+    category: str,
+    first_day: date,
+    last_day: date,
+    n: int = 300,
+    seed: int | None = None,
+    key: list[Column] | None = None,
 ) -> DataFrame:
-    """Summaries whose first analysed category is ``category``, with rounded indicators."""
+    """n summaries whose first analysed category is ``category``, with rounded indicators."""
     levels = ["first_category", "second_category", "third_category"]
     chosen = categories.where(F.col("first_category") == category).select("conversation_id", *levels)
     rows = loaded_between(summaries, first_day, last_day).join(chosen, "conversation_id")
@@ -197,7 +209,7 @@ def category_label_rows(
         F.col("first_comment_category"), blank, F.col("second_category_comment"), blank,
         F.col("third_category_comment"),
     )
-    return rows.select(
+    rows = rows.select(
         "conversation_id",
         F.col("mart_call_date").alias("call_date"),
         F.weekofyear("mart_call_date").alias("semana"),
@@ -208,6 +220,7 @@ def category_label_rows(
         *levels,
         text.alias("text"),
     )
+    return sampling.sample_n(rows, n, seed, key)
 
 
 def handle_time_by_month(performance: DataFrame, day: date) -> DataFrame:
