@@ -29,7 +29,6 @@ BASE = KINDS[:4]
 SPAN, CONTEXT = 5, 2
 # Texts and neighbourhoods that the weights are learnt on, at most.
 SAMPLE_TEXTS, SAMPLE_PLACES, EPOCHS, RATE, DECAY = 500, 500, 6, 0.3, 0.001
-MOST_TOKENS = 400
 _NONE = -1
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -97,7 +96,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def places(text: str) -> Iterator[list[tuple[int, int]]]:
     """Token bounds of each neighbourhood: the tokens with a digit or "@", CONTEXT tokens on both sides, joined where
-    they meet. A neighbourhood of more than MOST_TOKENS is decoded in consecutive parts."""
+    they meet, whatever their number: an entity is never cut."""
     held: list[tuple[int, int]] = []
     ahead, at = 0, 0
     for mark in _MARK.finditer(text):
@@ -120,7 +119,7 @@ def places(text: str) -> Iterator[list[tuple[int, int]]]:
             before.append((low, end))
         token = _TOKEN.match(text, start)
         gap = not held or (before[-1][0] if before else start) > ahead
-        if held and (gap or len(held) > MOST_TOKENS):
+        if held and gap:
             held += _after(text, at)
             yield held
             held = []
@@ -214,18 +213,19 @@ class SemiMarkov:
         return sum(get((kind, f), 0.0) for f in found) + get((kind, "bias"), -2.0)
 
     def decode(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
-        """Best segmentation: spans (kind, start, end)."""
-        ending = defaultdict(list)
-        for i, j, found in self.lattice(text, tokens):
-            scores = [self.score(k, found) for k in range(len(KINDS))]
-            best = int(np.argmax(scores))
-            ending[j].append((i, best, scores[best]))
+        """Best segmentation: spans (kind, start, end). Segments are scored as they end, so that what is held is a pair of
+        numbers a token, however long the neighbourhood."""
         best, back = [0.0], [(0, _NONE)]
         for j in range(1, len(tokens) + 1):
             top, where = best[j - 1], (j - 1, _NONE)
-            for i, kind, score in ending[j]:
-                if best[i] + score > top:
-                    top, where = best[i] + score, (i, kind)
+            for i in range(max(0, j - SPAN), j):
+                found = span_features(text, tokens, i, j)
+                if found is None:
+                    continue
+                scores = [self.score(k, found) for k in range(len(KINDS))]
+                kind = int(np.argmax(scores))
+                if best[i] + scores[kind] > top:
+                    top, where = best[i] + scores[kind], (i, kind)
             best.append(top)
             back.append(where)
         spans, j = [], len(tokens)
