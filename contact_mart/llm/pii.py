@@ -6,20 +6,21 @@ what stands before and after it), and a dynamic program over the bounded segment
 Segments without a digit or "@" score minus infinity, so every token outside the neighbourhoods is a segment of its own
 of type "none", and leaving these out changes nothing: the decoding is that of the whole text.
 
-The weights are learnt here, on a bounded sample of neighbourhoods: base spans are the labels of the four base types,
+The weights are learnt here, on a sample of neighbourhoods from all texts, bounded for each type: base spans are the labels of the four base types,
 assignments such as ``token = "..."`` those of "secret". Spans of the field that touch no base span are added.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contact_mart.llm.common import prepare
@@ -27,8 +28,11 @@ from contact_mart.llm.common import prepare
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
 SPAN, CONTEXT = 5, 2
-# Texts and neighbourhoods that the weights are learnt on, at most.
-SAMPLE_TEXTS, SAMPLE_PLACES, EPOCHS, RATE, DECAY = 500, 500, 6, 0.3, 0.001
+EPOCHS, RATE, DECAY = 6, 0.3, 0.001
+# Neighbourhoods that the weights are learnt on, at most: those with an entity of each type, and those with none.
+SAMPLE_PLACES = dict.fromkeys(KINDS, 100) | {"none": 300}
+# Of one text, neighbourhoods of a type; tokens of a neighbourhood, a longer one is learnt on in parts.
+TEXT_PLACES, PLACE_TOKENS = 3, 60
 _NONE = -1
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -276,27 +280,75 @@ def _segment_chances(n: int, segments: list, scores: np.ndarray) -> np.ndarray:
     return np.exp(np.minimum(scores + context[:, None], 0.0))
 
 
-def labelled(text: str) -> list[tuple[str, list[tuple[int, int]], set[tuple[str, int, int]]]]:
-    spans = set(base_spans(text)) | {("secret", m.start(1), m.end(1)) for m in _SECRET.finditer(text)}
-    return [(text, tokens, spans) for tokens in places(text)]
+Case = tuple[str, list[tuple[int, int]], set[tuple[str, int, int]]]
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> SemiMarkov:
-    """Weights from at most SAMPLE_TEXTS texts that have a digit or "@", the first in the order of a hash of the id, of
-    up to 20,000 code points each. The sample is for the weights alone; the search covers all texts."""
-    marked = docs.where(F.col(text).rlike("[0-9@]") & (F.length(text) <= 20_000))
-    some = marked.select(F.col(text).alias("t"), F.xxhash64(doc_id).alias("h")).orderBy("h", "t").limit(SAMPLE_TEXTS)
-    return _learnt([r["t"] for r in some.toLocalIterator()])
-
-
-def _learnt(texts: list[str]) -> SemiMarkov:
-    cases = []
-    for text in texts:
-        cases += labelled(text)
-        if len(cases) >= SAMPLE_PLACES:
-            break
+def labelled(text: str) -> Iterator[tuple[str, Case]]:
+    """(type, case) of the first TEXT_PLACES neighbourhoods of every type in the text, "none" without an entity. A case
+    has its own piece of the text. A long neighbourhood is split where no entity is cut."""
+    spans = sorted({(a, b, k) for k, a, b in base_spans(text)} | {(m.start(1), m.end(1), "secret") for m in _SECRET.finditer(text)})
+    taken: dict[str, int] = defaultdict(int)
+    first = 0
+    for tokens in places(text):
+        at = 0
+        while at < len(tokens):
+            end = min(at + PLACE_TOKENS, len(tokens))
+            low = tokens[at][0]
+            while first < len(spans) and spans[first][1] <= low:
+                first += 1
+            inside = []
+            for a, b, k in (spans[n] for n in range(first, len(spans))):
+                if a >= tokens[end - 1][1]:
+                    break
+                inside.append((a, b, k))
+            if end < len(tokens):
+                cut = end
+                while cut > at + 1 and any(a < tokens[cut][0] and b > tokens[cut - 1][1] for a, b, _ in inside):
+                    cut -= 1
+                end = cut if cut > at + 1 else end
+            high = tokens[end - 1][1]
+            gold = {(k, a - low, b - low) for a, b, k in inside if a >= low and b <= high}
+            case = text[low:high], [(s - low, e - low) for s, e in tokens[at:end]], gold
+            for kind in sorted({k for k, _, _ in gold}) or ["none"]:
+                taken[kind] += 1
+                if taken[kind] <= TEXT_PLACES:
+                    yield kind, case
+            at = end
+
+
+def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> list[Case]:
+    """Cases from all texts: of each type at most SAMPLE_PLACES, dealt evenly over the sources where there is such a
+    column, in the order of a hash of the id and the text."""
+    columns = [F.xxhash64(doc_id, text).alias("h"), (F.col(source).cast("string") if source in docs.columns else F.lit(None).cast("string")).alias("source")]
+    marked = docs.where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("text"), *columns)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [
+                (kind, source, h, place, json.dumps([piece, tokens, sorted(gold)]))
+                for value, h, source in zip(batch["text"], batch["h"], batch["source"])
+                for place, (kind, (piece, tokens, gold)) in enumerate(labelled(value))
+            ]
+            yield pd.DataFrame(rows, columns=["kind", "source", "h", "place", "case"])
+
+    found = marked.mapInPandas(cut, "kind string, source string, h long, place int, case string")
+    most = F.coalesce(*[F.when(F.col("kind") == k, F.lit(n)) for k, n in SAMPLE_PLACES.items()])
+    # Each source's first ones, then by turns over the sources; both filters are group limits before the exchange.
+    by_source = Window.partitionBy("kind", "source").orderBy("h", "place", "case")
+    by_kind = Window.partitionBy("kind").orderBy("turn", "h", "place", "case")
+    ranked = found.withColumn("turn", F.row_number().over(by_source)).where(F.col("turn") <= max(SAMPLE_PLACES.values()))
+    ranked = ranked.withColumn("n", F.row_number().over(by_kind)).where(F.col("n") <= max(SAMPLE_PLACES.values())).where(F.col("n") <= most)
+    cases: dict[str, int] = {}
+    for r in sorted(ranked.select("h", "place", "case").collect()):
+        cases.setdefault(r["case"], len(cases))
+    read = (json.loads(c) for c in cases)
+    return [(piece, [tuple(t) for t in tokens], {tuple(g) for g in gold}) for piece, tokens, gold in read]
+
+
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> SemiMarkov:
+    """Weights from the ``sample``. The sample is for the weights alone; the search covers all texts."""
     model = SemiMarkov()
-    model.learn([c for c in cases[:SAMPLE_PLACES] if len(c[1]) <= 60])
+    model.learn(sample(docs, doc_id, text, source))
     return model
 
 
@@ -328,7 +380,8 @@ def find_personal_data(docs: DataFrame, model: SemiMarkov | None = None, doc_id:
     """A row per row of ``docs``: the id, n_email, n_ip, n_card, n_phone and base_sha256 of the base spans, n_added,
     spans (all, as kind:start:end by kind and start; code points, end exclusive).
 
-    A null or empty text has no spans. Rows are independent; other columns are not read.
+    A null or empty text has no spans. Rows are independent; other columns are not read, but for a "source", over which
+    the sample for the weights is dealt.
     """
     spark = prepare(docs.sparkSession)
     sent = spark.sparkContext.broadcast((model or train(docs, doc_id, text)).weights)
