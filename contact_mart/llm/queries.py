@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contact_mart.llm import (
+    conversation_repair,
     decontamination,
     language,
     line_dedup,
@@ -93,6 +94,10 @@ def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "languages")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")), present="present")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -105,5 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_language": op11_language,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLES: dict[str, str] = {}
