@@ -16,6 +16,7 @@ from contact_mart.llm import (
     near_dedup,
     passages,
     pii,
+    prefix_trie,
     quality_model,
     quality_rules,
     token_counts,
@@ -98,6 +99,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")), present="present")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -111,5 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_language": op11_language,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {}
