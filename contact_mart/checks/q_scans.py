@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from contact_mart.plans.results import null_out_kpis
 from contact_mart.sources.driver import INPUTS
 from contact_mart.sources.schemas import SOURCES, conform
 from contact_mart.sources.tables import append_layer, read_layer, replace_where, write_layer
+from contact_mart.sources.versions import VersionedTable
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -84,6 +87,49 @@ register(
     + " WHERE o_orderdate < DATE '2001-05-01' OR month(o_orderdate) % 2 = 1",
 )
 
+
+
+def restored(c: Context) -> DataFrame:
+    """A table whose window was replaced, appended to and set back: the first version is the current one again."""
+    table = VersionedTable(c.spark, c.ws.path("restore"))
+    orders = _orders(c)
+    first = table.rewrite(orders)
+    table.replace_from(orders.where(F.col("call_date") >= F.lit(c.p.cutover)).withColumn("factor", F.lit(0.0)), c.p.cutover)
+    table.append(orders.limit(10))
+    table.restore(first)
+    table.vacuum(keep=1)
+    return table.read().select("conversation_id", "call_date", "factor", "customer")
+
+
+register("restore_version", restored, _ORDERS_SQL.format("o_totalprice"))
+
+
+def version_counts(c: Context) -> DataFrame:
+    """Rows and sums of three versions: rebuilt, window replaced twice. Earlier versions stay readable."""
+    table = VersionedTable(c.spark, c.ws.path("versions"))
+    orders = _orders(c)
+    late = date(2000, 1, 1)
+    table.rewrite(orders)
+    table.replace_from(orders.where(F.col("call_date") >= F.lit(c.p.cutover)).withColumn("factor", F.lit(1.0)), c.p.cutover)
+    table.replace_from(orders.where(F.col("call_date") >= F.lit(late)).withColumn("factor", F.lit(2.0)), late)
+    parts = [
+        table.read(v).groupBy(F.lit(v).alias("version"), F.year("call_date").alias("year")).agg(
+            F.count("*").alias("n"), F.sum(F.when(F.col("factor") <= 2, F.col("factor"))).alias("replaced")
+        )
+        for v in table.versions()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+register(
+    "version_counts",
+    version_counts,
+    """SELECT v AS version, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n,
+              CAST(sum(CASE WHEN v = 3 AND o_orderdate >= DATE '2000-01-01' THEN 2.0 WHEN v >= 2 AND o_orderdate >= DATE '1999-01-01' THEN 1.0
+                            WHEN o_totalprice <= 2 THEN o_totalprice END) AS DOUBLE) AS replaced
+       FROM orders, (VALUES (1), (2), (3)) versions(v) GROUP BY 1, 2""",
+)
+
 register(
     "windowed_source_filter",
     lambda c: _plain(

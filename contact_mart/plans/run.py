@@ -14,7 +14,7 @@ from contact_mart.plans.results import build_third
 from contact_mart.plans.segments import build_calculated
 from contact_mart.session import Workspace, tune
 from contact_mart.sources.catalog import Sources
-from contact_mart.sources.tables import read_layer, replace_where, write_layer
+from contact_mart.sources.tables import drop_old_versions, read_layer, replace_where, write_layer
 
 
 @dataclass(frozen=True)
@@ -28,8 +28,14 @@ class LayerPaths:
         return cls(*[f"{folder.rstrip('/')}/{name}" for name in ("calculated", "intermedia", "third")])
 
 
+def _tidy(spark: SparkSession, paths: LayerPaths, keep_versions: int) -> None:
+    """The last versions of each layer stay, for readers that are under way and for going back."""
+    for path in vars(paths).values():
+        drop_old_versions(spark, path, keep_versions)
+
+
 def full_run(
-    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None
+    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None, keep_versions: int = 2
 ) -> None:
     """Rebuild all layers; each reads the written table of the one before."""
     tune(spark)
@@ -41,10 +47,11 @@ def full_run(
         write_layer(build_third(read_layer(spark, paths.intermedia), src, p, workspace), paths.third)
     finally:
         workspace.close()
+    _tidy(spark, paths, keep_versions)
 
 
 def incremental_run(
-    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None
+    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None, keep_versions: int = 2
 ) -> date:
     """Recompute the previous and the current month. Returns the start of the rebuilt window.
 
@@ -66,4 +73,5 @@ def incremental_run(
         replace_where(build_third(intermedia, src, p, workspace), paths.third, p.start)
     finally:
         workspace.close()
+    _tidy(spark, paths, keep_versions)
     return p.start

@@ -1,81 +1,34 @@
-"""Writing of the layer tables: full rebuilds and replacement of a date window."""
+"""Writing of the layer tables: full rebuilds and replacement of a date window, each as a new version."""
 
 from __future__ import annotations
 
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def _arranged(df: DataFrame, day: str, cluster: str) -> DataFrame:
-    """Rows grouped by day and sorted by the cluster column inside each file.
-
-    The rebalance lets the engine cut a large day into several files of the advisory
-    size and merge small ones, so one hot day does not become one task.
-    """
-    return df.hint("rebalance", day).sortWithinPartitions(day, cluster)
+from contact_mart.sources.versions import VersionedTable
 
 
 def write_layer(df: DataFrame, path: str, day: str = "call_date", cluster: str = "conversation_id") -> None:
     """Replace the whole table, one folder per day."""
-    _arranged(df, day, cluster).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        day
-    ).parquet(path)
+    VersionedTable(df.sparkSession, path, day, cluster).rewrite(df)
 
 
 def append_layer(df: DataFrame, path: str, day: str = "call_date", cluster: str = "conversation_id") -> None:
-    _arranged(df, day, cluster).write.mode("append").partitionBy(day).parquet(path)
+    VersionedTable(df.sparkSession, path, day, cluster).append(df)
 
 
-def read_layer(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
-    reader = spark.read if ddl is None else spark.read.schema(ddl)
-    return reader.parquet(path)
+def read_layer(spark: SparkSession, path: str, day: str = "call_date") -> DataFrame:
+    """The current version; it stays readable while a new one is written and after the switch."""
+    return VersionedTable(spark, path, day).read()
 
 
 def replace_where(
     df: DataFrame, path: str, start: date, day: str = "call_date", cluster: str = "conversation_id"
 ) -> None:
-    """Replace the rows with ``day >= start``; older partitions are not read or rewritten.
-
-    The new days are written to the job's staging folder and swapped in on commit, so
-    a failed run leaves the table as it was. Days of the window that got no new rows
-    are dropped afterwards: partition overwrite alone would keep their old rows. A row
-    before ``start`` fails the job, as it would replace a day outside the window.
-    """
-    inside = F.coalesce(F.col(day) >= F.lit(start), F.lit(False))
-    refuse = F.raise_error(F.lit(f"a row lies before the window that starts on {start}")).cast("boolean")
-    checked = df.where(F.when(inside, F.lit(True)).otherwise(refuse))
-    before = _window_files(df.sparkSession, path, day, start)
-    _arranged(checked, day, cluster).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(day).parquet(path)
-    after = _window_files(df.sparkSession, path, day, start)
-    # A rewritten day holds new file names only; one with its old files got no new rows.
-    _drop_folders(df.sparkSession, path, [name for name, files in before.items() if after.get(name) == files])
-
-
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def _window_files(spark: SparkSession, path: str, day: str, start: date) -> dict[str, set[str]]:
-    """File names per day folder of the window (a listing of names, no data). A table that is not there has none."""
-    folder, fs = _folder(spark, path)
-    found = {}
-    if not fs.exists(folder):
-        return found
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        value = name.removeprefix(f"{day}=")
-        if name != value and value[:1].isdigit() and value >= str(start):
-            found[name] = {f.getPath().getName() for f in fs.listStatus(status.getPath())}
-    return found
+    """Replace the rows with ``day >= start``; days of the window without new rows are empty afterwards."""
+    VersionedTable(df.sparkSession, path, day, cluster).replace_from(df, start)
 
 
-def _drop_folders(spark: SparkSession, path: str, names: list[str]) -> None:
-    folder, fs = _folder(spark, path)
-    for name in names:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, name), True)
-    spark.catalog.refreshByPath(path)
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    VersionedTable(spark, path).vacuum(keep)

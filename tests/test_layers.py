@@ -40,12 +40,13 @@ def test_replace_where_drops_vacated_days_and_keeps_the_past(spark, rows, tmp_pa
         [("a", date(2025, 12, 31), 1), ("b", date(2026, 1, 1), 1), ("c", date(2026, 1, 2), 1)], LAYER
     )
     write_layer(old, path)
-    before = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t" / "call_date=2025-12-31").iterdir()}
+    past = next((tmp_path / "t").glob("version=*/call_date=2025-12-31"))
+    before = {f.name: f.stat().st_mtime_ns for f in past.iterdir()}
     replace_where(spark.createDataFrame([("d", date(2026, 1, 2), 2), ("e", date(2026, 1, 3), 2)], LAYER), path, date(2026, 1, 1))
     assert rows(read_layer(spark, path), "conversation_id", "call_date", "v") == [
         ("a", date(2025, 12, 31), 1), ("d", date(2026, 1, 2), 2), ("e", date(2026, 1, 3), 2),
     ]
-    assert {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t" / "call_date=2025-12-31").iterdir()} == before
+    assert {f.name: f.stat().st_mtime_ns for f in past.iterdir()} == before
 
 
 def test_replace_where_reads_its_own_table(spark, rows, tmp_path):
@@ -83,7 +84,7 @@ def test_a_large_day_becomes_several_files(spark, tmp_path):
         write_layer(big, path)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
-    assert len(list((tmp_path / "t" / "call_date=2026-01-01").glob("*.parquet"))) > 2
+    assert len(list((tmp_path / "t").glob("version=*/call_date=2026-01-01/*.parquet"))) > 2
 
 
 def _steady_sources(spark):
