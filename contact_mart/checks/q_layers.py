@@ -16,7 +16,31 @@ from contact_mart.checks.steps import names_text as names_sql
 from contact_mart.checks.steps import segments_text as segments_sql
 from contact_mart.functions import rules
 from contact_mart.operators import aggregates, lookups, scaling
-from contact_mart.plans import reports, results, segments
+from contact_mart.plans import conversations, reports, results, segments
+
+def event_spans(c: Context):
+    """Events in groups of four as conversations, three events to a month over a hundred years."""
+    months = F.floor(F.col("event_id") / 3) % 1200
+    return conversations.month_spans(
+        c.table("events").select(
+            F.floor(F.col("event_id") / 4).cast("string").alias("conversation_id"),
+            F.add_months(F.lit(date(1990, 1, 1)), months.cast("int")).alias("call_date"),
+            F.lit("whatsapp").alias("channel_type"),
+            F.lit("HUMAN").alias("is_human"),
+        )
+    )
+
+
+register(
+    "uncrossed_month_starts",
+    lambda c: conversations.uncrossed_months(
+        event_spans(c), c.table("orders").select(F.trunc("o_orderdate", "MM").alias("start")).distinct()
+    ),
+    """WITH s AS (SELECT min(d) AS a, max(d) AS b FROM (SELECT event_id // 4 AS k, CAST(DATE '1990-01-01' + to_months(CAST((event_id // 3) % 1200 AS INTEGER)) AS DATE) AS d FROM events) GROUP BY k),
+            t AS (SELECT a, max(b) AS b FROM s GROUP BY a),
+            m AS (SELECT a AS start FROM t UNION SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders)
+       SELECT start FROM m WHERE NOT EXISTS (SELECT 1 FROM t WHERE a < start AND b >= start)""",
+)
 
 # ---- first layer ---------------------------------------------------------------------
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contact_mart.functions.rules import stripped
@@ -64,11 +64,26 @@ def outer_parts(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 def wildcard_join(left: DataFrame, right: DataFrame, key: str, optional: str, values: list[str]) -> DataFrame:
     """LEFT join on ``key`` where a right row without ``optional`` fits every left row.
 
-    A left row may meet its own row and the open one; both are kept.
+    A left row may meet its own rows and the open ones; all are kept. The right side is two
+    indexes, each met by an equi join: own rows on (key, optional), open rows on the key. So
+    that open rows do not multiply with own ones, the first own match of a left row meets
+    them all and the others none; the pairs are then listed, own match once.
     """
-    side = right.select(F.col(key).alias("_k"), F.col(optional).alias("_o"), *values)
-    test = (F.col(key) == F.col("_k")) & (F.col("_o").isNull() | (F.col(optional) == F.col("_o")))
-    return left.join(side, test, "left").drop("_k", "_o")
+    ties = [F.col(v).asc_nulls_first() for v in values]
+    found = F.struct(*values)
+    place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*ties))
+    own = right.where(F.col(optional).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(optional).alias("_o"), found.alias("_own"), (place(key, optional) == 1).alias("_first")
+    )
+    open_ = right.where(F.col(optional).isNull()).select(
+        F.col(key).alias("_k2"), found.alias("_open"), place(key).alias("_place")
+    )
+    joined = left.join(own, (F.col(key) == F.col("_k")) & (F.col(optional) == F.col("_o")), "left").join(
+        open_, (F.col(key) == F.col("_k2")) & F.coalesce("_first", F.lit(True)), "left"
+    )
+    once = F.when(F.coalesce("_place", F.lit(1)) == 1, F.col("_own"))
+    listed = joined.withColumn("_met", F.explode_outer(F.array_compact(F.array(once, F.col("_open")))))
+    return listed.select(*left.columns, *[F.col(f"_met.{v}").alias(v) for v in values])
 
 
 def nearest_snapshot(
@@ -81,26 +96,52 @@ def nearest_snapshot(
 ) -> DataFrame:
     """As-of join by month: the snapshot nearest to each distinct (key, month).
 
-    ``moments`` has columns ``key`` and ``month`` (yyyymm). Ties: snapshots not before the
-    month first, then the latest load, then the values. The result depends on key and
-    month alone, so facts are reduced to their distinct pairs first and the
-    candidate set grows with keys × months × periods, not with the facts.
+    ``moments`` has columns ``key`` and ``month``; months and periods are yyyymm. Ties:
+    snapshots not before the month first, then the latest load, then the values. A snapshot
+    without a period has no distance and comes first; for an unknown month none has one.
+
+    A merge on one line per key: moments and snapshots (one per period) in the order of
+    their months. Two running windows carry the last known and the next known snapshot to
+    each moment, and the nearer of the two is taken. The rows are moments plus snapshots.
     """
     ties = [F.col(v).asc_nulls_first() for v in values]
-    per_period = top1(
-        snapshots.select(key, period, newest, *values), [key, period], [F.col(newest).desc_nulls_last(), *ties]
-    )
-    pairs = moments.select(key, "month").where(F.col(key).isNotNull()).distinct()
-    ranked = pairs.join(per_period, key).select(
-        key,
-        "month",
-        dates.month_gap(F.col(period), F.col("month")).alias("gap"),
-        F.when(F.col(period) >= F.col("month"), 0).otherwise(1).alias("before"),
-        F.col(newest).alias("loaded"),
-        *values,
+    latest = [F.col(newest).desc_nulls_last(), *ties]
+    per_period = top1(snapshots.select(key, period, newest, *values), [key, period], latest)
+    known = per_period.where(F.col(key).isNotNull()).select(
+        key, F.col(period).alias("_at"), F.lit(False).alias("_asked"), F.struct(period, newest, *values).alias("_snapshot")
     )
-    order = [F.col("gap").asc_nulls_first(), F.col("before").asc(), F.col("loaded").desc_nulls_last(), *ties]
-    return top1(ranked, [key, "month"], order)
+    asked = moments.select(key, F.col("month").alias("_at")).where(F.col(key).isNotNull()).distinct()
+    line = known.unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    # Snapshots without a period come first, so that the running window has met them.
+    forth = Window.partitionBy(key).orderBy(F.col("_at").asc_nulls_first(), "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy(key).orderBy(F.col("_at").desc_nulls_last(), "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(key)
+    load = F.col("_snapshot")[newest]
+    line = line.withColumn("_load", F.max(load).over(whole))
+    freshest = F.when(F.col("_snapshot").isNotNull() & load.eqNullSafe(F.col("_load")), F.struct(
+        F.struct(*[F.col("_snapshot")[v].alias(v) for v in values]).alias("order"), F.col("_snapshot").alias("snapshot")
+    ))
+    dated = F.when(F.col("_at").isNotNull(), F.col("_snapshot"))
+    carried = line.select(
+        key, "_at", "_asked",
+        F.first(F.when(F.col("_at").isNull(), F.col("_snapshot")), True).over(forth).alias("_undated"),
+        F.min(freshest).over(whole)["snapshot"].alias("_latest"),
+        F.last(dated, True).over(forth).alias("_last"),
+        F.last(dated, True).over(back).alias("_next"),
+    ).where("_asked")
+    gap = lambda side: dates.month_gap(F.col(side)[period], F.col("_at"))
+    later = F.col("_last").isNull() | (gap("_next") <= gap("_last"))
+    nearest = F.when(F.col("_next").isNotNull() & later, F.col("_next")).otherwise(F.col("_last"))
+    chosen = F.when(F.col("_at").isNull(), F.col("_latest")).otherwise(F.coalesce("_undated", nearest))
+    found = carried.select(key, F.col("_at").alias("month"), chosen.alias("_snapshot")).where(F.col("_snapshot").isNotNull())
+    own = F.col("_snapshot")[period]
+    return found.select(
+        key, "month",
+        dates.month_gap(own, F.col("month")).alias("gap"),
+        F.when(own >= F.col("month"), 0).otherwise(1).alias("before"),
+        F.col("_snapshot")[newest].alias("loaded"),
+        *[F.col("_snapshot")[v].alias(v) for v in values],
+    )
 
 
 def join_nearest(left: DataFrame, nearest: DataFrame, key: str, how: str = "left") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contact_mart.functions import arrays
@@ -55,23 +55,41 @@ def collapse_conversations(rows: DataFrame) -> DataFrame:
     )
 
 
-def whole_conversation_start(calculated: DataFrame, start: date) -> date:
-    """Latest month start at or before ``start`` that no chat conversation crosses.
+def month_spans(calculated: DataFrame) -> DataFrame:
+    """first, last: for each month in which a chat conversation starts, the last month that one of them reaches.
 
-    Only dates come to the driver: each round asks for the earliest day among the
-    conversations that reach over the current start.
-    """
+    One pass over the layer; what is left is a row per calendar month."""
     spans = (
         calculated.where(filters.is_chat_segment())
         .groupBy("conversation_id")
-        .agg(F.min("call_date").alias("first"), F.max("call_date").alias("last"))
+        .agg(F.trunc(F.min("call_date"), "MM").alias("first"), F.trunc(F.max("call_date"), "MM").alias("last"))
     )
-    while True:
-        crossing = spans.where((F.col("first") < F.lit(start)) & (F.col("last") >= F.lit(start)))
-        earliest = crossing.agg(F.min("first")).first()[0]
-        if earliest is None:
-            return start
-        start = earliest.replace(day=1)
+    return spans.groupBy("first").agg(F.max("last").alias("last")).where(F.col("first").isNotNull())
+
+
+def uncrossed_months(spans: DataFrame, starts: DataFrame) -> DataFrame:
+    """start: those of the month starts (of ``starts`` or of the spans) that no span crosses.
+
+    A sweep over the months: the running maximum of what the spans of earlier months reach. The sweep has a
+    row per calendar month, however large the layer is."""
+    months = spans.unionByName(starts.select(F.col("start").alias("first"), F.lit(None).cast("date").alias("last")))
+    per_month = months.groupBy("first").agg(F.max("last").alias("last"))
+    reached = F.max("last").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1))
+    swept = per_month.select(F.col("first").alias("start"), reached.alias("reached"))
+    return swept.where(F.coalesce(F.col("reached") < F.col("start"), F.lit(True))).select("start")
+
+
+def whole_conversation_start(calculated: DataFrame, start: date) -> date:
+    """Latest month start at or before ``start``, itself the first of a month, that no chat conversation crosses.
+
+    One scan of the layer and no loop: a conversation that crosses ``start`` makes the month in which it begins the
+    next candidate, and all months between are crossed by it; so the answer is ``start`` or a month in which a
+    conversation begins. Only a date comes to the driver."""
+    if start.day != 1:
+        raise ValueError(f"{start} is not the first day of a month")
+    asked = calculated.sparkSession.createDataFrame([(start,)], "start date")
+    found = uncrossed_months(month_spans(calculated), asked).where(F.col("start") <= F.lit(start))
+    return found.agg(F.max("start")).first()[0]
 
 
 def build_intermedia(calculated: DataFrame, p: Params | None = None) -> DataFrame:

@@ -144,6 +144,22 @@ def test_whole_conversation_start_moves_back_until_nothing_crosses(spark):
     assert whole_conversation_start(chats, date(2026, 5, 1)) == date(2026, 5, 1)
 
 
+def test_whole_conversation_start_follows_a_chain_over_six_months(spark):
+    """Each conversation reaches into the next month; the chain ends where none does. One Spark job reads the layer."""
+    days = [(date(2025, m, 25), date(2025, m + 1, 3)) for m in range(4, 10)]
+    chain = [(f"c{k}", d, "whatsapp", "HUMAN", "x", 1.0, None) for k, two in enumerate(days) for d in two]
+    long = [("l", d, "whatsapp", "HUMAN", "x", 1.0, None) for d in (date(2024, 2, 1), date(2024, 9, 1))]
+    chats = _chat(spark, chain + long)
+    expected = {date(2025, 10, 1): date(2025, 4, 1), date(2025, 7, 1): date(2025, 4, 1), date(2025, 11, 1): date(2025, 11, 1),
+                date(2025, 4, 1): date(2025, 4, 1), date(2024, 5, 1): date(2024, 2, 1), date(2024, 9, 1): date(2024, 2, 1), date(2024, 10, 1): date(2024, 10, 1),
+                date(2023, 1, 1): date(2023, 1, 1)}
+    for start, wanted in expected.items():
+        assert whole_conversation_start(chats, start) == wanted
+    with pytest.raises(ValueError):
+        whole_conversation_start(chats, date(2025, 4, 2))
+    assert whole_conversation_start(chats.where("false"), date(2025, 4, 1)) == date(2025, 4, 1)
+
+
 def test_winner_without_categories_falls_back(spark, rows):
     chats = _chat(spark, [
         ("a", date(2026, 1, 1), "whatsapp", "HUMAN", "x", 9.0, "first"), ("a", date(2026, 1, 2), "whatsapp", "HUMAN", "y", 1.0, "second"),

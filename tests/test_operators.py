@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+import random
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -59,6 +60,62 @@ def test_nearest_snapshot_prefers_the_later_month(spark, rows):
     assert rows(out, "key", "month", "v") == [("k", 202512, 1), ("k", 202603, 3), ("k", None, 3), ("none", 202603, None)]
 
 
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+def test_wildcard_join_equals_the_residual_test(spark, rows):
+    """Several own and open rows, equal rows, unknown keys and agents on both sides; both keys are in the equi join."""
+    rng = random.Random(1)
+    pick = lambda *options: rng.choice(options)
+    left = spark.createDataFrame([(pick("a", "b", "c", "d", None), pick("x", "y", "z", None), k // 2) for k in range(60)], "k string, o string, n int")
+    right = spark.createDataFrame(
+        [(pick("a", "b", "c", "e", None), pick("x", "y", None, None), pick(1, 2, None), pick("s", None)) for _ in range(40)],
+        "k string, o string, v int, w string",
+    )
+    side = right.selectExpr("k rk", "o ro", "v", "w")
+    test = (F.col("k") == F.col("rk")) & (F.col("ro").isNull() | (F.col("o") == F.col("ro")))
+    wanted = left.join(side, test, "left").drop("rk", "ro")
+    out = joins.wildcard_join(left, right, "k", "o", ["v", "w"])
+    assert out.columns == wanted.columns
+    assert rows(out) == rows(wanted)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = [line for line in _executed(joins.wildcard_join(left, right, "k", "o", ["v", "w"])).splitlines() if "Join" in line]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(plan) == 2 and not any("NestedLoop" in line for line in plan)
+    assert any("[k#" in line and "o#" in line.split("]")[0] for line in plan), plan
+
+
+def test_nearest_snapshot_equals_the_ranked_candidates(spark, rows):
+    """The merge against a join of all candidates; unknown months, periods, loads and values, ties of all kinds."""
+    rng = random.Random(2)
+    month = lambda: rng.choice([202311, 202312, 202401, 202402, 202406, 202501, 202412, None])
+    for n in range(3):
+        loads = [None, datetime(2026, 1, 1), datetime(2026, 1, 1, 5), datetime(2026, 3, 1)]
+        moments = spark.createDataFrame([(rng.choice("abcdefgh") if rng.random() < 0.95 else None, month()) for _ in range(90)], "k string, month int")
+        snapshots = spark.createDataFrame(
+            [(rng.choice("abcdefi"), month() if n or rng.random() < 0.9 else 202403, rng.choice(loads), rng.choice([1, 2, None]), rng.choice(["p", None])) for _ in range(45)]
+            + [(None, 202401, None, 1, "p")],
+            "k string, period int, loaded timestamp, v int, w string",
+        )
+        if n == 1:
+            snapshots = snapshots.where("period is not null")
+        both = moments.where("k is not null").distinct().join(snapshots, "k")
+        ranked = both.selectExpr(
+            "k", "month", "period", "loaded", "v", "w",
+            "abs((floor(period / 100) * 12 + period % 100) - (floor(month / 100) * 12 + month % 100)) gap", "if(period >= month, 0, 1) before",
+        )
+        order = [F.col("gap").asc_nulls_first(), F.col("before"), F.col("loaded").desc_nulls_last(), F.col("v").asc_nulls_first(), F.col("w").asc_nulls_first()]
+        wanted = dedup.top1(ranked, ["k", "month"], order)
+        out = joins.nearest_snapshot(moments, snapshots, "k", "period", "loaded", ["v", "w"])
+        columns = ("k", "month", "gap", "before", "loaded", "v", "w")
+        assert rows(out, *columns) == rows(wanted, *columns)
+        assert "Join" not in _executed(out) and "Cartesian" not in _executed(out)
+
+
 def test_outer_parts_equals_full_outer(spark, rows):
     left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "l string, x int")
     right = spark.createDataFrame([("a", 5), ("a", 6), ("c", 7), (None, 8)], "r string, y int")
