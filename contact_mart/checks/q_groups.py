@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from contact_mart.checks.q_joins import ORDER_SHARE_SQL, WEIGHTED_ORDERS_SQL, _main, weighted_orders
@@ -10,12 +12,13 @@ from contact_mart.checks.steps import agents_text as agents_sql
 from contact_mart.checks.steps import names_text as names_sql
 from contact_mart.checks.steps import segments_text as segments_sql
 from contact_mart.functions import arrays, dates, rules
-from contact_mart.operators import aggregates, dedup, filters, scaling
+from contact_mart.operators import aggregates, dedup, filters, scaling, sketches
 from contact_mart.operators.reconcile import reconcile
 from contact_mart.operators.reshape import union_all, union_distinct, unpivot_measures
 from contact_mart.operators.sampling import sample_n
 from contact_mart.plans import earlier, reports, results, segments
 from contact_mart.plans.conversations import build_intermedia, collapse_conversations
+from contact_mart.plans.first_seen import FirstSeen
 
 # ---- aggregations --------------------------------------------------------------------
 
@@ -272,6 +275,49 @@ register(
 )
 
 
+def refreshed_first_seen(c: Context):
+    """State built up to a day, then taken over from three windows, the last of which replaces months again."""
+    mart = segments.pack_segment(c.segments).select("call_date", "skill_lookup")
+    state = FirstSeen(c.spark, c.ws.path("first-seen"))
+    windows = [date(1998, 1, 1), date(1999, 7, 1), date(1999, 1, 1)]
+    state.refresh(mart.where(F.col("call_date") < F.lit(windows[0])))
+    state.refresh(mart.where(F.col("call_date") < F.lit(date(2000, 1, 1))), windows[0])
+    for start in windows[1:]:
+        state.refresh(mart, start)
+    return state.read()
+
+
+register(
+    "first_seen_state",
+    refreshed_first_seen,
+    """SELECT bp_executive_num AS bp_num, min(call_date) AS first_seen FROM seg_one WHERE bp_executive_num IS NOT NULL GROUP BY ALL""",
+)
+
+
+def sketched(c: Context):
+    """Distinct conversations and agents per partner and year, exact, and whether the merged daily sketches are within four
+    standard errors of them."""
+    rows = c.segments.select("call_date", "conversation_id", "agent_id", "factory_name")
+    counted = {"conversations": "conversation_id", "agents": "agent_id"}
+    days = c.ws.stage(sketches.daily_sketches(rows, ["factory_name"], counted), "sketches")
+    year = F.year("call_date").alias("year")
+    near = sketches.distinct_over(days, ["factory_name", year], list(counted))
+    exact = rows.groupBy("factory_name", year).agg(*[F.count_distinct(v).alias(f"exact_{k}") for k, v in counted.items()])
+    both = exact.join(near.withColumnsRenamed({"factory_name": "_f", "year": "_y"}), F.col("factory_name").eqNullSafe(F.col("_f")) & (F.col("year") == F.col("_y")))
+    close = lambda k: F.abs(F.col(k) - F.col(f"exact_{k}")) <= 1 + 4 * sketches.standard_error() * F.col(f"exact_{k}")
+    return both.select(
+        "factory_name", "year", *[F.col(f"exact_{k}").alias(k) for k in counted], *[close(k).alias(f"{k}_close") for k in counted]
+    )
+
+
+register(
+    "distinct_sketches",
+    sketched,
+    """SELECT factory_name, CAST(year(call_date) AS INTEGER) AS year, count(DISTINCT conversation_id) AS conversations, count(DISTINCT agent_id) AS agents,
+              true AS conversations_close, true AS agents_close FROM seg_rich GROUP BY ALL""",
+)
+
+
 def constants(c: Context):
     grouped = results.social_rows(scaling.current_demand(c.src["demand_daily"], c.p), c.p)
     return flat(grouped)
@@ -490,7 +536,7 @@ register(
         "valor",
     ),
     """SELECT mes, canal, valor FROM (SELECT mes, sum(demanda_voz_agente) AS voz, sum(wa) AS wsp, sum(livechat) AS chat, sum(casos_validado_com_gabi) AS cases,
-              sum(redes_sociales_validado_rrss_tabela_jessie_ohmura_okedasem_marketing) AS rrss FROM in_demand_wide GROUP BY mes)
+              sum(redes_sociales) AS rrss FROM in_demand_wide GROUP BY mes)
        UNPIVOT (valor FOR canal IN (voz, wsp, chat, cases, rrss))""",
 )
 register(

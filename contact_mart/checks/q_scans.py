@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contact_mart.checks.registry import Context, register
 from contact_mart.functions import dates
 from contact_mart.operators import filters
+from contact_mart.operators.keysets import KeySet
 from contact_mart.plans.results import null_out_kpis
 from contact_mart.sources.driver import INPUTS
 from contact_mart.sources.schemas import SOURCES, conform
@@ -177,3 +178,22 @@ def appended(c: Context) -> DataFrame:
 
 
 register("append_union_insert", appended, _ORDERS_SQL.format("o_totalprice"))
+
+
+def window_sessions(c: Context) -> DataFrame:
+    """Sessions of the participants whose categories were loaded in the window: pruned in the scan, then joined."""
+    p = c.p.incremental()
+    raw = c.src["voice_categories"].unionByName(c.src["text_categories"])
+    keys = KeySet(filters.cut(raw, "load_datetime", p.loads_from, p.as_of).select("participant_id"), c.ws)
+    left = keys.prune(c.src["participant_sessions"], "participant_id")
+    exact = left.join(keys.keys, F.col("participant_id") == F.col("key"), "left_semi")
+    return _plain(exact)
+
+
+register(
+    "window_key_pruning",
+    window_sessions,
+    f"""SELECT {_plain_sql('participant_sessions')} FROM in_participant_sessions WHERE participant_id IN (
+          SELECT participant_id FROM in_voice_categories WHERE load_datetime >= DATE '2001-05-01' AND load_datetime < DATE '2001-06-15'
+          UNION ALL SELECT participant_id FROM in_text_categories WHERE load_datetime >= DATE '2001-05-01' AND load_datetime < DATE '2001-06-15')""",
+)

@@ -226,12 +226,13 @@ STEPS |= {
         WHERE NOT coalesce(channel_type IN ('webmessaging', 'whatsapp') AND is_human = 'HUMAN', false)
         UNION ALL BY NAME FROM chat_merged""",
     "dem_old": f"""
-        SELECT '19' || mes[4:5] || '-' || lpad(CAST(list_position([{quoted(MONTH_LABELS)}], mes[1:3]) AS VARCHAR), 2, '0') AS mes,
+        SELECT CASE WHEN mes[4:5] >= '90' THEN '19' ELSE '20' END || mes[4:5] || '-' || lpad(CAST(list_position([{quoted(MONTH_LABELS)}], mes[1:3]) AS VARCHAR), 2, '0') AS mes,
                canal, CAST(NULL AS VARCHAR) AS zona, 'HUMAN' AS is_human, valor
         FROM (SELECT mes, sum(demanda_voz_agente) AS voz, sum(wa) AS wsp, sum(livechat) AS chat, sum(casos_validado_com_gabi) AS cases,
-                     sum(redes_sociales_validado_rrss_tabela_jessie_ohmura_okedasem_marketing) AS rrss
+                     sum(redes_sociales) AS rrss
               FROM in_demand_wide GROUP BY mes)
-        UNPIVOT (valor FOR canal IN (voz, wsp, chat, cases, rrss))""",
+        UNPIVOT (valor FOR canal IN (voz, wsp, chat, cases, rrss))
+        WHERE CASE WHEN mes[4:5] >= '90' THEN '19' ELSE '20' END || mes[4:5] < strftime({CUT}, '%Y')""",
     "dem_new": f"""
         SELECT strftime(date, '%Y-%m') AS mes, m.canal, CASE WHEN upper(country) = 'BR' THEN 'BR' ELSE 'SSC' END AS zona,
                m.is_human, sum(N_R) AS valor

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +19,19 @@ WIDE_MEASURES = {
     "wsp": "wa",
     "chat": "livechat",
     "cases": "casos_validado_com_gabi",
-    "rrss": "redes_sociales_validado_rrss_tabela_jessie_ohmura_okedasem_marketing",
+    "rrss": "redes_sociales",
 }
 
 
-def historic_demand(wide: DataFrame, p: Params) -> DataFrame:
-    """Monthly demand per canal from the wide table; it knows no zone and humans only."""
-    months = wide.groupBy("mes").agg(*[F.sum(m).cast("double").alias(c) for c, m in WIDE_MEASURES.items()])
-    long = unpivot_measures(months, ["mes"], list(WIDE_MEASURES), "canal", "valor")
-    return map_column(long, "mes", "mes", p.month_label_rows(), None).select(
+def historic_demand(wide: DataFrame, p: Params, measures: Mapping[str, str] = WIDE_MEASURES) -> DataFrame:
+    """Monthly demand per canal from the wide table; it knows no zone and humans only.
+
+    Months from the cutover on are those of the daily table, so they are left out here. An unknown label has no
+    month. ``measures``: the wide table's column of each canal."""
+    months = wide.groupBy("mes").agg(*[F.sum(m).cast("double").alias(c) for c, m in measures.items()])
+    long = unpivot_measures(months, ["mes"], list(measures), "canal", "valor")
+    past = F.coalesce(F.col("mes") < p.cutover_month, F.lit(True))
+    return map_column(long, "mes", "mes", p.month_label_rows(), None).where(past).select(
         "mes",
         "canal",
         F.lit(None).cast("string").alias("zona"),

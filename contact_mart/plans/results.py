@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from contact_mart.functions import arrays, dates, rules
 from contact_mart.operators import filters, joins, lookups, scaling
 from contact_mart.operators.dedup import down, latest_agent_name, latest_staff, top1, up
+from contact_mart.operators.keysets import KeySet, pruned_sources
 from contact_mart.operators.reshape import union_all, union_distinct
 from contact_mart.params import Params
 from contact_mart.session import Workspace
@@ -15,6 +16,8 @@ from contact_mart.sources.catalog import Sources
 from contact_mart.sources.schemas import THIRD, conform
 
 CONVERSATION = {"conversation_id": "conversation_id"}
+# Sources without a load time of their own, with their conversation column.
+WINDOWLESS = {"compliance": "conversation_id", "surveys": "conversation_id", "chat_indicators": "conversationid"}
 
 
 def since(df: DataFrame, column: str, p: Params, always: bool = False) -> DataFrame:
@@ -345,12 +348,24 @@ def categorised_rows(rows: DataFrame, src: Sources, p: Params) -> DataFrame:
     return lookups.homologate(cascade(rows, chat_tips(src), ticket_levels(src, p)))
 
 
+def window_sources(intermedia: DataFrame, src: Sources, p: Params, ws: Workspace) -> Sources:
+    """Incremental: sources that only their conversation ties to the window, pruned to its conversations.
+
+    Each of them is joined to the window's rows on the conversation, so no row that matters goes."""
+    if p.start is None:
+        return src
+    rows = intermedia.where(F.col("call_date") >= F.lit(p.start))
+    keys = KeySet(rows.select("conversation_id"), ws, "window-conversations")
+    return pruned_sources(src, keys, WINDOWLESS)
+
+
 def final_rows(intermedia: DataFrame, src: Sources, p: Params, ws: Workspace) -> DataFrame:
     """All rows before re-weighting.
 
     Staff and country lookups come first and the joins on the conversation last: those share
     one exchange of the wide rows, and its partitioning also serves the removal of duplicates.
     """
+    src = window_sources(intermedia, src, p, ws)
     rows = staff_lookups(scaled_rows(intermedia, src, p, ws), src)
     rows = lookups.with_country(categorised_rows(rows, src, p))
     return conversation_lookups(rows, src, p)

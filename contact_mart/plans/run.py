@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from contact_mart.params import Params
 from contact_mart.plans.conversations import build_intermedia, whole_conversation_start
+from contact_mart.plans.first_seen import FirstSeen
 from contact_mart.plans.results import build_third
 from contact_mart.plans.segments import build_calculated
 from contact_mart.session import Workspace, tune
@@ -35,9 +36,10 @@ def _tidy(spark: SparkSession, paths: LayerPaths, keep_versions: int) -> None:
 
 
 def full_run(
-    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None, keep_versions: int = 2
+    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None, keep_versions: int = 2,
+    first_seen: FirstSeen | None = None,
 ) -> None:
-    """Rebuild all layers; each reads the written table of the one before."""
+    """Rebuild all layers; each reads the written table of the one before. ``first_seen`` is refreshed from the last."""
     tune(spark)
     p = replace(p, start=None)
     workspace = Workspace(spark)
@@ -47,11 +49,14 @@ def full_run(
         write_layer(build_third(read_layer(spark, paths.intermedia), src, p, workspace), paths.third)
     finally:
         workspace.close()
+    if first_seen is not None:
+        first_seen.refresh(read_layer(spark, paths.third))
     _tidy(spark, paths, keep_versions)
 
 
 def incremental_run(
-    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None, keep_versions: int = 2
+    spark: SparkSession, src: Sources, p: Params, paths: LayerPaths, overrides: DataFrame | None = None, keep_versions: int = 2,
+    first_seen: FirstSeen | None = None,
 ) -> date:
     """Recompute the previous and the current month. Returns the start of the rebuilt window.
 
@@ -64,7 +69,7 @@ def incremental_run(
         raise ValueError(f"the window starts on {p.start}: weights are of whole months, so it must start with a month")
     workspace = Workspace(spark)
     try:
-        replace_where(build_calculated(src, p, overrides), paths.calculated, p.start)
+        replace_where(build_calculated(src, p, overrides, workspace), paths.calculated, p.start)
         calculated = read_layer(spark, paths.calculated)
         if p.whole_conversations:
             p = replace(p, start=whole_conversation_start(calculated, p.start))
@@ -73,5 +78,7 @@ def incremental_run(
         replace_where(build_third(intermedia, src, p, workspace), paths.third, p.start)
     finally:
         workspace.close()
+    if first_seen is not None:
+        first_seen.refresh(read_layer(spark, paths.third), p.start)
     _tidy(spark, paths, keep_versions)
     return p.start

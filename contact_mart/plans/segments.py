@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from contact_mart.functions import arrays, dates, rules
 from contact_mart.operators import aggregates, filters, joins
 from contact_mart.operators.dedup import best_queue_row, latest_hr_by_email, min_per_key, top1, up, user_of_participant
+from contact_mart.operators.keysets import KeySet
 from contact_mart.operators.reshape import union_all
 from contact_mart.params import Params
+from contact_mart.session import Workspace
 from contact_mart.sources.catalog import Sources
 from contact_mart.sources.schemas import CALCULATED, SEGMENT, conform
 
@@ -55,11 +57,16 @@ def segments_enriched(src: Sources, p: Params) -> DataFrame:
     return joins.left_lookup(described, markets, {"conversation_id": "conversation_id"})
 
 
-def category_rows(src: Sources, p: Params) -> DataFrame:
-    """Voice and text categories with the agent behind the participant."""
+def category_rows(src: Sources, p: Params, ws: Workspace | None = None) -> DataFrame:
+    """Voice and text categories with the agent behind the participant.
+
+    An incremental run looks at the sessions of the window's participants only."""
     raw = union_all(src["voice_categories"], src["text_categories"])
     loaded = filters.cut(raw, "load_datetime", p.loads_from, p.as_of)
-    users = user_of_participant(src["participant_sessions"])
+    sessions = src["participant_sessions"]
+    if ws is not None and p.start is not None:
+        sessions = KeySet(loaded.select("participant_id"), ws, "window-participants").prune(sessions, "participant_id")
+    users = user_of_participant(sessions)
     named = joins.left_lookup(loaded, users, {"participant_id": "participant_id"})
     return named.select("conversation_id", "agent_id", *LEVELS)
 
@@ -110,14 +117,20 @@ def staff_of_tickets(tickets: DataFrame, staff: DataFrame) -> DataFrame:
     return top1(found, ["ticket_id"], order).select("ticket_id", "agent_bp_number", "agent_id")
 
 
-def tickets_resolved(src: Sources, p: Params, overrides: DataFrame | None = None) -> DataFrame:
+def tickets_resolved(
+    src: Sources, p: Params, overrides: DataFrame | None = None, ws: Workspace | None = None
+) -> DataFrame:
     """Filtered tickets with the agent number: override list, nearest staff month, HR by e-mail.
 
     ``overrides`` has the columns ``agent_email`` and ``agent_bp_number``, one row per address.
     """
     kept = filters.filter_tickets(src["tickets"], p)
-    # Ranked over all tickets, as one ticket id may have rows outside the filter.
-    staff = staff_of_tickets(src["tickets"], src["staff_snapshots"])
+    # Ranked over all rows of a ticket, as one ticket id may have rows outside the filter; an incremental run
+    # ranks the tickets of the window.
+    ranked = src["tickets"]
+    if ws is not None and p.start is not None:
+        ranked = KeySet(kept.select("ticket_id"), ws, "window-tickets").prune(ranked, "ticket_id")
+    staff = staff_of_tickets(ranked, src["staff_snapshots"])
     named = joins.left_lookup(
         kept, staff.withColumnRenamed("agent_bp_number", "staff_bp"), {"ticket_id": "ticket_id"}
     )
@@ -236,14 +249,17 @@ def resolve_market(rows: DataFrame, queue_country: DataFrame) -> DataFrame:
     )
 
 
-def build_calculated(src: Sources, p: Params, overrides: DataFrame | None = None) -> DataFrame:
-    categories = category_rows(src, p)
+def build_calculated(
+    src: Sources, p: Params, overrides: DataFrame | None = None, ws: Workspace | None = None
+) -> DataFrame:
+    """The layer. With a workspace an incremental run prunes sources without a window column by the window's keys."""
+    categories = category_rows(src, p, ws)
     segments = segments_categorised(segments_enriched(src, p), best_category_per_agent(categories))
     calls = joins.left_lookup(
         calls_and_bots(segments, bot_rows(src, p)),
         aggregates.agents_per_conversation(categories),
         {"conversation_id": "conversation_id"},
     )
-    tickets = collapse_tickets(tickets_resolved(src, p, overrides))
+    tickets = collapse_tickets(tickets_resolved(src, p, overrides, ws))
     rows = union_all(calls, tickets, fill=True)
     return conform(resolve_market(rows, src["queue_country"]), CALCULATED)

@@ -102,7 +102,7 @@ _WEIGHTS = ", ".join(
 _MONTH_LABEL = (
     "(CASE month(o_orderdate) WHEN 1 THEN 'Ene' WHEN 2 THEN 'Feb' WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr' "
     "WHEN 5 THEN 'May' WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' WHEN 9 THEN 'Sep' "
-    "WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' ELSE 'Dec' END || CAST(year(o_orderdate) % 100 AS STRING))"
+    "WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' ELSE 'Dec' END || lpad(CAST(year(o_orderdate) % 100 AS STRING), 2, '0'))"
 )
 
 INPUTS = {
@@ -223,8 +223,8 @@ FROM {{part}}""",
 SELECT {_MONTH_LABEL} AS mes, count(*) * CAST(1.5 AS DOUBLE) AS demanda_voz_agente, count(*) * CAST(1.25 AS DOUBLE) AS wa,
        CASE WHEN {_MONTH_LABEL} = 'Mar96' THEN NULL ELSE count(*) * CAST(2 AS DOUBLE) END AS livechat,
        count(*) * CAST(0.5 AS DOUBLE) AS casos_validado_com_gabi,
-       count(*) * CAST(0.25 AS DOUBLE) AS redes_sociales_validado_rrss_tabela_jessie_ohmura_okedasem_marketing
-FROM {{orders}} WHERE o_orderdate < DATE '1999-01-01'
+       count(*) * CAST(0.25 AS DOUBLE) AS redes_sociales
+FROM {{orders}}
 GROUP BY {_MONTH_LABEL}, o_orderpriority""",
     "demand_daily": f"""
 SELECT CAST(o_orderdate AS DATE) AS date,

@@ -30,7 +30,7 @@ SOURCES = {
     "hr_history": _HR,
     "hr_daily": _HR,
     "queue_country": "sagg string, country string",
-    "demand_wide": "mes string, demanda_voz_agente double, wa double, livechat double, casos_validado_com_gabi double, redes_sociales_validado_rrss_tabela_jessie_ohmura_okedasem_marketing double",
+    "demand_wide": "mes string, demanda_voz_agente double, wa double, livechat double, casos_validado_com_gabi double, redes_sociales double",
     "demand_daily": "date date, channel string, country string, N_R double",
     "chat_indicators": "conversationid string, tip string, fcr_ai string",
     "ticket_categories": "conversation_id string, first_category string, second_category string, third_category string, load_datetime timestamp",
