@@ -1,29 +1,35 @@
 """Reversible line dedup: exact reference tables behind sharded cuckoo filters.
 
-Two tables hold the state. ``refs`` has a row for every long line of every document: the
-128-bit hash of its key, the document, the place of the line. ``filters`` has a cuckoo
-filter per shard of keys, of the keys that two or more documents hold; it answers "surely
-not repeated" from 16 bits a key. A lookup asks the filter of its shard first and joins
-only what passes with the exact counts, so a false positive costs time, never a line.
-
-Documents are added by appending their refs and deleted by removing them; the filters take
-the keys that become repeated and give up those that no longer are, without a rebuild.
+Three tables hold the state. ``refs`` has a row for every long line of every document: the
+128-bit hash of its key, the document, the place of the line. ``counts`` has for every key
+how many documents hold it, and the smallest of them. ``filters`` has a cuckoo filter per
+shard of keys, of the keys that two or more documents hold; it answers "surely not
+repeated" from 16 bits a key. A lookup asks the filter of its shard first and joins only
+what passes with the exact counts, so a false positive costs time, never a line.
+
+Documents that come or go are counted by themselves, and their counts are added to or taken
+from those of their keys; other lines are not looked at, but for those of keys that lose
+their owner. The filters take the keys that become repeated and give up those that no
+longer are, without a rebuild.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contact_mart.llm.common import SPACE_CLASS, Tables, lower_ascii, mixed, prepare
+from contact_mart.llm.common import SPACES, Tables, lower_ascii, mixed, prepare
 
 SLOTS = 4
 # Filters of up to so many bytes in all are sent to the tasks that read refs; larger ones go by shard.
 FILTER_BYTES = 32 << 20
+# Changes after which the parts of refs are written as one table again.
+COMPACT = 8
 
 
 class CuckooFilter:
@@ -95,8 +101,8 @@ class CuckooFilter:
 
 
 def line_key(line: Column) -> Column:
-    """The line without whitespace at its ends, A-Z lower-cased."""
-    return lower_ascii(F.regexp_replace(line, rf"^{SPACE_CLASS}+|{SPACE_CLASS}+\z", ""))
+    """The line without whitespace at its ends, A-Z lower-cased. One look at each character, however long a run is."""
+    return lower_ascii(F.btrim(line, F.lit(SPACES)))
 
 
 def line_refs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = 10) -> DataFrame:
@@ -114,12 +120,13 @@ def line_refs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least
 
 @dataclass
 class LineIndex:
-    """State of the dedup. ``refs`` and ``filters`` are written tables; ``repeated`` has the exact counts of keys that
-    two documents or more hold: hi, lo, owner (smallest document), n_docs."""
+    """State of the dedup, in written tables. ``refs``: the lines of all documents. ``counts``: for each key how many
+    documents hold it and the smallest of them: hi, lo, n_docs, owner. ``filters``: a cuckoo filter per shard of the keys
+    that two documents or more hold."""
 
     tables: Tables
-    refs: DataFrame
-    repeated: DataFrame
+    refs: list[DataFrame]
+    counts: DataFrame
     filters: DataFrame
     shards: int
     version: int = 0
@@ -127,27 +134,58 @@ class LineIndex:
     @classmethod
     def build(cls, docs: DataFrame, tables: Tables, keys_per_shard: int = 50_000, **columns) -> LineIndex:
         refs = tables.put(line_refs(docs, **columns), "refs-0")
-        repeated = tables.put(_repeated(refs), "repeated-0")
-        shards = max(1, -(-repeated.count() // keys_per_shard))
-        filters = tables.put(_filters(repeated, shards, keys_per_shard * 2), "filters-0")
-        return cls(tables, refs, repeated, filters, shards)
+        counts = tables.put(_counts(refs), "counts-0")
+        shards = max(1, -(-counts.where("n_docs > 1").count() // keys_per_shard))
+        filters = tables.put(_filters(counts.where("n_docs > 1"), shards, keys_per_shard * 2), "filters-0")
+        return cls(tables, [refs], counts, filters, shards)
+
+    @property
+    def all_refs(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.refs)
 
     def insert(self, docs: DataFrame, **columns) -> LineIndex:
-        """The index with the documents added. Their ids must be new."""
-        return self._next(self.refs.unionByName(line_refs(docs, **columns)))
+        """The index with the documents added: their lines are counted and the counts added to those of their keys.
 
-    def delete(self, ids: DataFrame) -> LineIndex:
-        """The index without the documents whose ids are in the column ``doc_id``; lines that they owned pass on."""
-        return self._next(self.refs.join(ids.select(F.col("doc_id").alias("doc")).distinct(), "doc", "left_anti"))
+        Ids that are in the index already are refused."""
+        refs = self.tables.put(line_refs(docs, **columns), f"refs-{self.version + 1}")
+        known = self.all_refs.select("doc").join(refs.select("doc").distinct(), "doc", "left_semi").limit(1).collect()
+        if known:
+            raise ValueError(f"document {known[0][0]} is in the index")
+        return self._next([*self.refs, refs], _counts(refs), None)
 
-    def _next(self, refs: DataFrame) -> LineIndex:
-        """Exact tables of the new state; in the filters only the keys that begin or cease to be repeated change."""
+    def delete(self, ids: DataFrame) -> LineIndex:
+        """The index without the documents whose ids are in the column ``doc_id``: the counts of their keys go down, and
+        keys that lose their owner look for the next one among their lines."""
+        gone = self.tables.put(ids.select(F.col("doc_id").alias("doc")).distinct(), f"gone-{self.version + 1}")
+        lost = self.tables.put(_counts(self.all_refs.join(gone, "doc", "left_semi")), f"lost-{self.version + 1}")
+        left = [part.join(gone, "doc", "left_anti") for part in self.refs]
+        return self._next(left, lost.withColumn("n_docs", -F.col("n_docs")), reduce(DataFrame.unionByName, left))
+
+    def _next(self, refs: list[DataFrame], deltas: DataFrame, left: DataFrame | None) -> LineIndex:
+        """The counts with the changes of some keys added, and the filters without the keys that cease to be repeated and
+        with those that begin to be. Keys that no document holds any more go."""
         v = self.version + 1
-        refs = self.tables.put(refs, f"refs-{v}")
-        repeated = self.tables.put(_repeated(refs), f"repeated-{v}")
-        gone = self.repeated.join(repeated, ["hi", "lo"], "left_anti").select("hi", F.lit(-1).alias("sign"))
-        come = repeated.join(self.repeated, ["hi", "lo"], "left_anti").select("hi", F.lit(1).alias("sign"))
-        changes = gone.unionByName(come).withColumn("shard", F.pmod("hi", F.lit(self.shards)))
+        if v % COMPACT == 0:
+            refs = [self.tables.put(reduce(DataFrame.unionByName, refs), f"refs-all-{v}")]
+        deltas = self.tables.put(deltas, f"deltas-{v}")
+        change = deltas.select("hi", "lo", F.col("n_docs").alias("by"), F.col("owner").alias("of"))
+        touched = self.counts.join(change, ["hi", "lo"], "full_outer").select(
+            "hi", "lo", F.coalesce("n_docs", F.lit(0)).alias("was"), (F.coalesce("n_docs", F.lit(0)) + F.coalesce("by", F.lit(0))).alias("n_docs"),
+            F.when(F.coalesce("by", F.lit(0)) >= 0, F.least("owner", "of")).otherwise(F.when(F.col("of") > F.col("owner"), F.col("owner"))).alias("owner"),
+        ).where("n_docs > 0")
+        if left is not None:
+            # Only keys whose owner went look at lines, and only at their own.
+            orphans = self.tables.put(touched.where("owner is null").select("hi", "lo"), f"orphans-{v}")
+            heirs = left.join(orphans, ["hi", "lo"], "left_semi").groupBy("hi", "lo").agg(F.min("doc").alias("heir"))
+            touched = touched.join(heirs, ["hi", "lo"], "left").withColumn("owner", F.coalesce("owner", "heir")).drop("heir")
+        state = self.tables.put(touched, f"state-{v}")
+        counts = state.select("hi", "lo", "n_docs", "owner")
+        begun = state.where("was < 2 and n_docs > 1").select("hi", F.lit(1).alias("sign"))
+        # Keys without documents are not in the state any more: they are the changed ones that had two or more.
+        ceased = self.counts.where("n_docs > 1").join(deltas, ["hi", "lo"], "left_semi").join(
+            counts.where("n_docs > 1"), ["hi", "lo"], "left_anti"
+        ).select("hi", F.lit(-1).alias("sign"))
+        changes = ceased.unionByName(begun).withColumn("shard", F.pmod("hi", F.lit(self.shards)))
 
         def changed(_key, held: pd.DataFrame, moves: pd.DataFrame) -> pd.DataFrame:
             shard = int(held["shard"].iloc[0])
@@ -159,14 +197,13 @@ class LineIndex:
         filters = (
             self.filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(changed, self.filters.schema)
         )
-        return LineIndex(
-            self.tables, refs, repeated, self.tables.put(filters, f"filters-{v}"), self.shards, v
-        )
+        return LineIndex(self.tables, refs, counts, self.tables.put(filters, f"filters-{v}"), self.shards, v)
 
     def dropped(self) -> DataFrame:
         """doc, text_hash, places: the lines that go, from every document but the smallest that holds the key."""
         candidates = self._screened()
-        found = candidates.join(self.repeated.select("hi", "lo", "owner"), ["hi", "lo"]).where("doc > owner")
+        repeated = self.counts.where("n_docs > 1").select("hi", "lo", "owner")
+        found = candidates.join(repeated, ["hi", "lo"]).where("doc > owner")
         return found.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places"))
 
     def _screened(self) -> DataFrame:
@@ -175,7 +212,7 @@ class LineIndex:
         if size > FILTER_BYTES:
             return self._screened_by_shard()
         held = {r["shard"]: (r["slots"], r["spare"]) for r in self.filters.toLocalIterator()}  # under FILTER_BYTES
-        sent, shards = self.refs.sparkSession.sparkContext.broadcast(held), self.shards
+        sent, shards = self.filters.sparkSession.sparkContext.broadcast(held), self.shards
 
         def screen(batches):
             cuckoos = {shard: CuckooFilter.load(*parts) for shard, parts in sent.value.items()}
@@ -188,19 +225,21 @@ class LineIndex:
                         keep[rows] = cuckoos[s].contains(hi[rows])
                 yield batch[keep]
 
-        return self.refs.mapInPandas(screen, self.refs.schema)
+        refs = self.all_refs
+        return refs.mapInPandas(screen, refs.schema)
 
     def _screened_by_shard(self) -> DataFrame:
         """The same with each filter joined to the rows of its shard, a partial filter of the size of one shard a row."""
-        slot_of = self.refs.withColumn("shard", F.pmod("hi", F.lit(self.shards)))
+        refs = self.all_refs
+        slot_of = refs.withColumn("shard", F.pmod("hi", F.lit(self.shards)))
         # No nulls in the long columns: pandas would make them floats, which cannot hold 64-bit hashes.
         with_head = self.filters.select(
             "shard", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"), F.lit(0).alias("kind"), "slots", "spare",
-            *[F.lit(0).cast(t).alias(c) for c, t in self.refs.dtypes],
+            *[F.lit(0).cast(t).alias(c) for c, t in refs.dtypes],
         )
         rows = slot_of.select(
             "shard", F.pmod(F.xxhash64("doc"), F.lit(16)).cast("int").alias("salt"), F.lit(1).alias("kind"),
-            F.lit(None).cast("binary").alias("slots"), F.lit(None).cast("binary").alias("spare"), *self.refs.columns,
+            F.lit(None).cast("binary").alias("slots"), F.lit(None).cast("binary").alias("spare"), *refs.columns,
         )
         parts = with_head.unionByName(rows).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
 
@@ -223,13 +262,11 @@ class LineIndex:
         )
 
 
-def _repeated(refs: DataFrame) -> DataFrame:
-    """Keys of two documents or more. Smallest and largest document are summed before the exchange, so that a key on
-    every page moves one row a task."""
-    counts = refs.groupBy("hi", "lo").agg(
-        F.min("doc").alias("owner"), F.max("doc").alias("last"), F.count("*").alias("n_lines")
-    )
-    return counts.where("owner < last").select("hi", "lo", "owner", "n_lines")
+def _counts(refs: DataFrame) -> DataFrame:
+    """hi, lo, n_docs, owner. A document counts once for a key; its lines are merged before the exchange, and so are the
+    counts of a key, so that a key on every page moves one row a task."""
+    held = refs.groupBy("hi", "lo", "doc").agg(F.lit(1).alias("one"))
+    return held.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("owner"))
 
 
 def _filters(repeated: DataFrame, shards: int, capacity: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,9 @@ from contact_mart.llm.queries import QUERIES
 from . import brute
 from .conftest import SF
 
-INPUTS = ("documents", "benchmark", "labels", "pages")
+INPUTS = ("documents", "benchmark", "labels", "pages", "conversations")
+# Queries with rows of their own: passages, conversations, nodes. Their tests are in files of their own.
+OTHER_ROWS = ("op4_substring_dedup", "op12_conversation_repair", "op13_prefix_trie")
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +59,7 @@ def test_pipeline_of_empty_tables_is_empty(spark, nothing):
     assert corpus_pipeline.run(spark, nothing).collect() == []
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n != "op4_substring_dedup"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in OTHER_ROWS])
 def test_rows_without_id_and_repeated_rows_stay(spark, odd, name):
     result = QUERIES[name](spark, odd)
     source, key = ("pages", "page_id") if "page_id" in result.columns else ("documents", "doc_id")
@@ -71,7 +75,7 @@ def _gone(index, rows):
     return sorted((r["doc"], sorted(r["places"])) for r in index.dropped().collect())
 
 
-def test_line_index_is_reversible(spark):
+def test_line_index_is_reversible(spark, monkeypatch):
     """Inserting and deleting gives what building from the remaining documents gives; owners pass on."""
     lines = [f"line number {k} of the lot" for k in range(60)]
     rows = [(d, "\n".join(lines[(d * 7 + k) % 60] for k in range(9))) for d in range(40)]
@@ -82,11 +86,43 @@ def test_line_index_is_reversible(spark):
     more = index.insert(frame(rows[25:]))
     whole = line_dedup.LineIndex.build(frame(rows), Tables(spark), keys_per_shard=8)
     assert _gone(more, rows) == _gone(whole, rows) != start
+    counted = lambda index: sorted(tuple(r) for r in index.counts.select("hi", "lo", "n_docs", "owner").collect())
+    assert counted(more) == counted(whole)
+    with pytest.raises(ValueError):
+        more.insert(frame(rows[3:4]))
     back = more.delete(frame(rows[25:]).select("doc_id"))
     assert _gone(back, rows) == start
+    assert counted(back) == counted(index)
     without_owners = back.delete(frame(rows[:6]).select("doc_id"))
     rest = line_dedup.LineIndex.build(frame(rows[6:25]), Tables(spark), keys_per_shard=8)
     assert _gone(without_owners, rows) == _gone(rest, rows)
+    assert counted(without_owners) == counted(rest)
+    monkeypatch.setattr(line_dedup, "COMPACT", 2)
+    small = without_owners
+    for doc in range(6, 20):
+        small = small.delete(frame(rows[doc : doc + 1]).select("doc_id"))
+    assert counted(small) == counted(line_dedup.LineIndex.build(frame(rows[20:25]), Tables(spark), keys_per_shard=8))
+    assert len(small.refs) <= 2
+
+
+def test_a_change_counts_its_own_lines_alone(spark):
+    """The lines of one document in a hundred are as many as the rows of the deltas at most."""
+    rows = [(d, "\n".join(f"line {k} of document {d if k % 3 else 'all'}" for k in range(10))) for d in range(200)]
+    frame = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    tables = Tables(spark)
+    index = line_dedup.LineIndex.build(frame(rows[:198]), tables)
+    more = index.insert(frame(rows[198:]))
+    assert spark.read.parquet(tables._paths["refs-1"]).count() == 20
+    assert spark.read.parquet(tables._paths["deltas-1"]).count() <= 20
+    more.delete(frame(rows[:2]).select("doc_id"))
+    assert spark.read.parquet(tables._paths["deltas-2"]).count() <= 20
+
+
+def test_a_line_with_a_long_run_of_blanks_takes_linear_time(spark):
+    lines = spark.range(1).select(F.concat(F.lit("a" * 10), F.repeat(F.lit(" \t"), 5_000_000), F.lit("B \x0b")).alias("line"))
+    began = time.perf_counter()
+    assert lines.select(F.length(line_dedup.line_key(F.col("line")))).first()[0] == 10_000_011
+    assert time.perf_counter() - began < 20
 
 
 def test_line_index_by_shard_equals_sent_filters(spark, monkeypatch):

@@ -7,6 +7,7 @@ import pytest
 from contact_mart.llm.queries import QUERIES
 
 from . import brute
+from .test_edges import OTHER_ROWS
 
 OP2 = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 OP8 = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -111,9 +112,19 @@ def test_quality_classifier(spark, corpus, doc_rows, rows):
         assert 0 <= score <= 1 and predicted == int(score >= 0.3)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in OTHER_ROWS])
 def test_queries_keep_every_row(spark, name):
     sf = "/root/testdata/sf0.001"
     result = QUERIES[name](spark, sf)
     source = "pages" if "page_id" in result.columns else "documents"
     assert result.count() == spark.read.parquet(f"{sf}/{source}.parquet").count()
+
+
+def test_passages_are_of_documents(spark):
+    """Each passage is of two documents of the table, the smaller one second, and lies within their words."""
+    sf = "/root/testdata/sf0.001"
+    sizes = {r[0]: len(brute.words(r[1] or "")) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = QUERIES["op4_substring_dedup"](spark, sf).collect()
+    assert got
+    for r in got:
+        assert r["of_doc"] < r["doc_id"] and r["start_word"] >= 0 and r["end_word"] <= sizes[r["doc_id"]] and r["of_end"] <= sizes[r["of_doc"]]
