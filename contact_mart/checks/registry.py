@@ -44,7 +44,7 @@ class Context:
 
     @cached_property
     def calculated(self) -> DataFrame:
-        return self.ws.stage(build_calculated(self.src, self.p), "calculated")
+        return self.ws.stage(build_calculated(self.src, self.p, None, self.ws), "calculated")
 
     @cached_property
     def intermedia(self) -> DataFrame:

@@ -44,7 +44,7 @@ def full_run(
     p = replace(p, start=None)
     workspace = Workspace(spark)
     try:
-        write_layer(build_calculated(src, p, overrides), paths.calculated)
+        write_layer(build_calculated(src, p, overrides, workspace), paths.calculated)
         write_layer(build_intermedia(read_layer(spark, paths.calculated)), paths.intermedia)
         write_layer(build_third(read_layer(spark, paths.intermedia), src, p, workspace), paths.third)
     finally:

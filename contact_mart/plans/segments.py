@@ -252,8 +252,11 @@ def resolve_market(rows: DataFrame, queue_country: DataFrame) -> DataFrame:
 def build_calculated(
     src: Sources, p: Params, overrides: DataFrame | None = None, ws: Workspace | None = None
 ) -> DataFrame:
-    """The layer. With a workspace an incremental run prunes sources without a window column by the window's keys."""
+    """The layer. With a workspace the category rows, which the best category and the agent lists both read, are
+    computed once, and an incremental run prunes sources without a window column by the window's keys."""
     categories = category_rows(src, p, ws)
+    if ws is not None:
+        categories = ws.stage(categories, "categories")
     segments = segments_categorised(segments_enriched(src, p), best_category_per_agent(categories))
     calls = joins.left_lookup(
         calls_and_bots(segments, bot_rows(src, p)),
