@@ -23,6 +23,7 @@ from contact_mart.llm import (
     warc,
 )
 from contact_mart.llm.common import prepare, table
+from contact_mart.llm.oracles import ORACLES as ORACLES
 
 POLICY = 2
 
@@ -80,6 +81,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy does alone, from the ledger of op8."""
+    prepare(spark)
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return quality_rules.ablations(rows, POLICY)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", _sha256(F.col("text")).alias("kept_sha256"))
@@ -112,10 +120,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "quality_ablations": quality_ablations,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_language": op11_language,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_prefix_trie": op13_prefix_trie,
 }
-ORACLES: dict[str, str] = {}
