@@ -13,6 +13,8 @@ and they are a table like any other.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,28 +52,31 @@ def cells(docs: DataFrame, topic: Column, text: str = "text") -> DataFrame:
     )
 
 
+def _total(rows: DataFrame, column: str) -> float:
+    return rows.agg(F.sum(column)).first()[0] or 0.0
+
+
 def tempered(present: DataFrame, dimension: str, exponent: float) -> DataFrame:
     """value, target: the present share to the exponent, as a share of all."""
     powers = present.groupBy(F.col(dimension).alias("value")).agg(F.pow(F.sum("tokens"), F.lit(exponent)).alias("p"))
-    return powers.select("value", (F.col("p") / F.sum("p").over(Window.partitionBy())).alias("target"))
+    return powers.select("value", (F.col("p") / F.lit(_total(powers, "p"))).alias("target"))
 
 
 def raked(present: DataFrame, targets: dict[str, DataFrame], tables: Tables, name: str = "raked") -> DataFrame:
-    """The cells with ``share``: raked shares, summing to 1. A value without a target gets 0; a target without cells is
-    left out and the others of its dimension share its part. Targets that contradict each other (a source and a language
-    that are the same documents, with different shares) end after MOST_ROUNDS, with the last dimension met."""
-    goal = present
-    for d, target in targets.items():
-        wanted = tables.put(target.select(F.col("value").alias("__v"), F.col("target").cast("double").alias("__t")), f"{name}-{d}")
-        goal = goal.join(wanted, goal[d].eqNullSafe(wanted["__v"]), "left").drop("__v").withColumnRenamed("__t", f"goal_{d}")
-    whole = Window.partitionBy()
-    for d in targets:  # the goals of the values that have cells, summing to 1
-        first = F.row_number().over(Window.partitionBy(d).orderBy(*DIMENSIONS)) == 1
-        goal = goal.withColumn("__one", F.when(first, F.coalesce(f"goal_{d}", F.lit(0.0))).otherwise(0.0))
-        total = F.sum("__one").over(whole)
-        goal = goal.withColumn(f"goal_{d}", F.when(total > 0, F.coalesce(f"goal_{d}", F.lit(0.0)) / total).otherwise(0.0)).drop("__one")
-    rows = tables.put(goal.withColumn("share", F.col("tokens") / F.sum("tokens").over(whole)), f"{name}-0")
-    step = 0
+    """The cells with ``share``: raked shares, summing to 1, and ``gap``: how far a sum is from its target at the end.
+    A value without a target gets 0; a target without cells is left out and the others of its dimension share its part.
+    Targets that contradict each other (a source and a language that are the same documents, with different shares) end
+    after MOST_ROUNDS, with the last dimension met, a gap of TOLERANCE or more and a warning."""
+    rows = present
+    for d, target in targets.items():  # the goals of the values that have cells, summing to 1
+        wanted = target.groupBy(F.col("value").alias("__v")).agg(F.sum(F.col("target").cast("double")).alias("__t"))
+        held = present.select(F.col(d).alias("v")).distinct()
+        goal = held.join(wanted, held["v"].eqNullSafe(wanted["__v"]), "left").select("v", F.coalesce("__t", F.lit(0.0)).alias("__t"))
+        goal = tables.put(goal, f"{name}-{d}")
+        total = _total(goal, "__t") or 1.0
+        rows = rows.join(goal, rows[d].eqNullSafe(goal["v"])).withColumn(f"goal_{d}", F.col("__t") / F.lit(total)).drop("v", "__t")
+    rows = tables.put(rows.withColumn("share", F.col("tokens") / F.lit(_total(present, "tokens") or 1.0)), f"{name}-0")
+    step, gap = 0, 0.0
     while step < MOST_ROUNDS:
         for _ in range(ROUNDS_PER_TABLE):
             for d in targets:
@@ -81,34 +86,36 @@ def raked(present: DataFrame, targets: dict[str, DataFrame], tables: Tables, nam
         rows = tables.put(rows, f"{name}-{step}")
         gaps = None
         for d in targets:
-            gap = rows.groupBy(d).agg(F.abs(F.sum("share") - F.max(f"goal_{d}")).alias("gap")).select("gap")
-            gaps = gap if gaps is None else gaps.unionByName(gap)
-        worst = gaps.agg(F.max("gap")).first()[0]
+            off = rows.groupBy(d).agg(F.abs(F.sum("share") - F.max(f"goal_{d}")).alias("gap")).select("gap")
+            gaps = off if gaps is None else gaps.unionByName(off)
+        gap = gaps.agg(F.max("gap")).first()[0] or 0.0
         tables.drop(f"{name}-{step - ROUNDS_PER_TABLE}")
-        if worst is None or worst < TOLERANCE:
+        if gap < TOLERANCE:
             break
-    return rows.drop(*[f"goal_{d}" for d in targets])
+    if gap >= TOLERANCE:
+        warnings.warn(f"raking ended after {step} rounds with a gap of {gap:.2g}: the targets contradict each other", stacklevel=2)
+    return rows.drop(*[f"goal_{d}" for d in targets]).withColumn("gap", F.lit(gap))
 
 
 def probabilities(shares: DataFrame, fraction: float) -> DataFrame:
     """The cells with density and probability, whose expected tokens are ``fraction`` of all, or all that have a share.
 
-    Cells in descending density are taken whole as long as the scale that the budget leaves for the rest would take
-    them whole."""
-    positive = shares.where("share > 0")
-    budget = F.lit(fraction) * F.sum("tokens").over(Window.partitionBy())
-    density = positive.withColumn("budget", budget).withColumn("density", F.col("share") / F.col("tokens"))
-    order = Window.orderBy(F.desc("density"), *DIMENSIONS).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = density.withColumns(
-        {"tokens_ahead": F.coalesce(F.sum("tokens").over(order), F.lit(0.0)), "share_ahead": F.coalesce(F.sum("share").over(order), F.lit(0.0))}
-    )
-    left = F.greatest(F.lit(1.0) - F.col("share_ahead"), F.col("share"))
-    scaled = ahead.withColumn("scale", (F.col("budget") - F.col("tokens_ahead")) / left)
-    part = scaled.withColumn("whole", F.col("scale") * F.col("density") >= 1)
-    scale = F.min(F.when(~F.col("whole"), F.struct("tokens_ahead", "scale"))).over(Window.partitionBy())["scale"]
-    return part.withColumn(
-        "probability", F.when(F.col("whole"), 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), scale * F.col("density"))))
-    ).select(*DIMENSIONS, "tokens", "n_docs", "share", "density", "probability")
+    The scale is found from below: what the scale so far takes whole is set aside, and the scale that the budget leaves
+    for the others is the next one. It only grows, and is the answer once it takes no more cells whole; each step is one
+    aggregate over the cells."""
+    cells_ = shares.where("share > 0").withColumn("density", F.col("share") / F.col("tokens"))
+    budget, scale, whole = fraction * _total(cells_, "tokens"), 0.0, -1
+    while True:
+        taken = F.lit(scale) * F.col("density") >= 1
+        n, tokens, rest = cells_.agg(
+            F.count_if(taken), F.sum(F.when(taken, F.col("tokens"))), F.sum(F.when(~taken, F.col("share")))
+        ).first()
+        if n == whole:
+            break
+        # Nothing is left to scale: every cell is whole.
+        whole, scale = n, max(scale, (budget - (tokens or 0.0)) / rest) if rest else scale
+    chance = F.when(F.lit(scale) * F.col("density") >= 1, 1.0).otherwise(F.lit(scale) * F.col("density"))
+    return cells_.withColumn("probability", chance).select(*DIMENSIONS, "tokens", "n_docs", "share", "density", "probability")
 
 
 def drawn(id_column: str, seed: int) -> Column:
