@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 from datetime import date
 
@@ -290,3 +291,47 @@ def test_a_cluster_without_shared_folder_is_refused(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         _ = Workspace(Session()).root
+
+
+def moved_with(df, *columns):
+    """Exchanges of the plan whose rows have the columns."""
+    kept = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "16KB")
+    try:
+        text = plan(df)
+    finally:
+        df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    parts = re.findall(r"\n\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+    return sum(all(re.search(rf"\b{c}#", p) for c in columns) for p in parts)
+
+
+def test_chats_are_collapsed_where_their_joins_leave_them(mart):
+    calculated = segments.build_calculated(mart["src"], mart["p"], None, mart["ws"])
+    assert moved_with(calculated, "skill_lookup") == moved_with(calculated, "Gerencia") == 0
+    assert moved_with(calculated, "all_agents") == 0
+    assert moved_with(build_intermedia(calculated), "skill_lookup") == 0
+
+
+def test_wide_rows_of_the_final_layer_move_once(mart):
+    assert moved_with(results.final_rows(mart["intermedia"], mart["src"], mart["p"], mart["ws"]), "skill_lookup") == 1
+
+
+def test_staff_of_narrow_rows_is_that_of_the_rows(spark, rows):
+    """Missing conversations, agents, numbers and days; repeated rows; months that the staff table lacks."""
+    day = date(1999, 3, 5)
+    main = spark.createDataFrame(
+        [("c1", 1, "a1", day), ("c1", 1, "a1", day), ("c1", 2, None, day), (None, 1, "a1", day), (None, None, "a2", day),
+         ("c2", None, None, day), ("c3", 1, "a1", None), ("c4", 9, "a9", day), ("c5", 2, "a1", date(1999, 4, 1))],
+        "conversation_id string, agent_bp bigint, agent_id string, call_date date",
+    )
+    tables = {
+        "agent_names": spark.createDataFrame([(1, "one", day), (2, "two", day)], "agent_bp_number bigint, agent_name string, load_date date"),
+        "staff_snapshots": spark.createDataFrame(
+            [("a1", 1, 91, 199903), ("a2", None, 92, 199903), (None, 2, 93, 199903), ("a1", 3, 94, 199904)],
+            "agent_id string, agent_bp_number bigint, supervisor_bp_number bigint, period_id int",
+        ).withColumn("load_datetime", F.lit(day).cast("timestamp_ntz")),
+    }
+    wanted = results.staff_lookups(main, tables)
+    held = main.withColumn("conversation_id", F.coalesce("conversation_id", F.lit(results.NO_CONVERSATION)))
+    got = results.given_back(results.join_staff(held, results.staff_of_rows(held, tables)))
+    assert rows(got, *wanted.columns) == rows(wanted)
