@@ -335,3 +335,10 @@ def test_staff_of_narrow_rows_is_that_of_the_rows(spark, rows):
     held = main.withColumn("conversation_id", F.coalesce("conversation_id", F.lit(results.NO_CONVERSATION)))
     got = results.given_back(results.join_staff(held, results.staff_of_rows(held, tables)))
     assert rows(got, *wanted.columns) == rows(wanted)
+
+
+def test_queue_attributes_do_not_move_where_no_market_is_read(mart):
+    """The planner leaves the market out then; the first exchange is that of the categories."""
+    calculated = segments.build_calculated(mart["src"], mart["p"], None, mart["ws"])
+    main = results.main_table(build_intermedia(calculated))
+    assert moved_with(main.select("conversation_id", "agent_id", "cat_pca", "all_agents", "skill_lookup"), "Gerencia") == 0
