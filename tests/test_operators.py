@@ -344,3 +344,10 @@ def test_recontact_flags(spark, rows):
     assert rows(out, "record_id", "customer_id", "is_traceable_contact", "is_traceable_recontact") == [
         ("a", 12, 1, 1), ("b", None, 1, 0), ("c", None, 0, 0),
     ]
+
+
+def test_tasks_after_an_exchange_stay_small(spark):
+    """A table that 8 partitions would hold is dealt to tasks of some 16 MB."""
+    wide = spark.range(1_000_000).select("id", *[F.sha2((F.col("id") + k).cast("string"), 512).alias(f"c{k}") for k in range(4)])
+    sizes = wide.repartition("id").groupBy(F.spark_partition_id()).agg(*[F.max(f"c{k}") for k in range(4)])
+    assert len(sizes.collect()) > 8
