@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from contact_mart import Workspace
 from contact_mart.functions import dates
-from contact_mart.operators import filters, scaling
+from contact_mart.operators import filters, joins, scaling
 from contact_mart.plans import results, segments
 from contact_mart.plans.conversations import build_intermedia, collapse_conversations, whole_conversation_start
 from contact_mart.plans.run import LayerPaths, full_run, incremental_run
@@ -342,3 +342,21 @@ def test_queue_attributes_do_not_move_where_no_market_is_read(mart):
     calculated = segments.build_calculated(mart["src"], mart["p"], None, mart["ws"])
     main = results.main_table(build_intermedia(calculated))
     assert moved_with(main.select("conversation_id", "agent_id", "cat_pca", "all_agents", "skill_lookup"), "Gerencia") == 0
+
+
+def test_rows_of_a_wildcard_join_move_once(spark):
+    """Before, they moved to (key, optional) and again to the key; the right side moved for its choice and for both joins."""
+    left = spark.range(5000).selectExpr("id % 900 AS conversation_id", "'a' || id % 7 AS agent_id", "id AS n")
+    rows = spark.range(5000).selectExpr(
+        "id % 800 AS conversation_id", "'p' || id % 9 AS participant_id", "'true' AS is_first_call_resolution",
+        "'r' || id % 3 AS reason_resolution_fcr", "id AS load_datetime",
+    )
+    bridge = spark.range(5000).selectExpr("id % 800 AS conversation_id", "'p' || id % 8 AS participant_id", "'a' || id % 5 AS agent_id")
+    values = ["is_first_call_resolution", "reason_resolution_fcr"]
+    resolved = results.resolution_per_agent(rows, bridge)
+    joined = joins.wildcard_join(left, resolved, "conversation_id", "agent_id", values)
+    assert moved_with(joined, "n") == 1
+    # Each of the two sides: to the bridge and to the conversation.
+    assert moved_with(joined, "reason_resolution_fcr") == 4
+    raw = rows.selectExpr("conversation_id", "participant_id AS agent_id", *values)
+    assert moved_with(joins.wildcard_join(left, raw, "conversation_id", "agent_id", values), "n") == 1
