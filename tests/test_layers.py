@@ -360,3 +360,13 @@ def test_rows_of_a_wildcard_join_move_once(spark):
     assert moved_with(joined, "reason_resolution_fcr") == 4
     raw = rows.selectExpr("conversation_id", "participant_id AS agent_id", *values)
     assert moved_with(joins.wildcard_join(left, raw, "conversation_id", "agent_id", values), "n") == 1
+
+
+def test_scan_tasks_stay_small(spark, tmp_path):
+    path, asked = str(tmp_path / "t"), "spark.sql.files.minPartitionNum"
+    spark.range(3_000_000, numPartitions=1).select(F.rand(1)).write.option("parquet.block.size", 1 << 20).parquet(path)
+    spark.conf.set(asked, 1)
+    try:
+        assert spark.read.parquet(path).rdd.getNumPartitions() >= 2
+    finally:
+        spark.conf.unset(asked)
