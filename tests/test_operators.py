@@ -238,6 +238,46 @@ def test_scaling_factors_before_and_after_the_cutover(spark, rows):
     ]
 
 
+def test_demand_meets_the_counts_without_zone_before_the_cutover(spark, rows):
+    """The query on a layer of its own: months before the cutover (1999) have demand without a zone, against all zones."""
+    from types import SimpleNamespace
+
+    from contact_mart.checks.all import QUERIES
+    from contact_mart.session import Workspace
+    from contact_mart.sources.driver import PARAMS
+    from contact_mart.sources.schemas import INTERMEDIA, conform
+
+    old, new = date(1998, 12, 1), date(1999, 1, 1)
+    contacts = spark.createDataFrame(
+        [(f"{i}{day}", day, "voice", "HUMAN", zone) for day in (old, new) for i, zone in enumerate(["BR", "SSC", "SSC"])]
+        + [("bot", old, "voice", "NOT_HUMAN", "BR"), ("chat", new, "webmessaging", "HUMAN", "BR")],
+        "conversation_id string, call_date date, channel_type string, is_human string, mercado string",
+    )
+    wide = "mes string, demanda_voz_agente double, wa double, livechat double, casos_validado_com_gabi double, redes_sociales double"
+    c = SimpleNamespace(
+        p=PARAMS,
+        ws=Workspace(spark),
+        intermedia_once=conform(contacts, INTERMEDIA),
+        src={
+            "demand_wide": spark.createDataFrame([("Dec98", 12.0, None, None, None, None)], wide),
+            "demand_daily": spark.createDataFrame(
+                [(new, "Calls", "BR", 5.0), (new, "Calls", "CL", 8.0), (old, "Calls", "BR", 99.0)],
+                "date date, channel string, country string, N_R double",
+            ),
+        },
+    )
+    found = QUERIES["join_zone_month_demand"](c)
+    assert rows(found, "mes", "canal", "zona", "is_human", "valor", "wanted", "total", "factor") == [
+        ("1998-12", "voz", "BR", "HUMAN", 1, 12.0, 3, 4.0),
+        ("1998-12", "voz", "BR", "NOT_HUMAN", 1, None, 1, 1.0),
+        ("1998-12", "voz", "SSC", "HUMAN", 2, 12.0, 3, 4.0),
+        ("1999-01", "chat", "BR", "HUMAN", 1, None, 1, 0.0),
+        ("1999-01", "voz", "BR", "HUMAN", 1, 5.0, 1, 5.0),
+        ("1999-01", "voz", "SSC", "HUMAN", 2, 8.0, 2, 4.0),
+    ]
+    c.ws.close()
+
+
 WEIGHTED = "k string, call_date date, canal string, market_code string, is_human string, category string, factor double, kept_bot_category boolean"
 
 
