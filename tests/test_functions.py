@@ -155,3 +155,16 @@ def test_month_labels_follow_the_years():
     assert len(labels) == 24
     assert (labels["Ene24"], labels["Apr24"], labels["Dec25"]) == ("2024-01", "2024-04", "2025-12")
     assert len(Params(as_of=date(2026, 5, 1)).month_label_rows()) == 36
+
+
+def test_lists_of_one_element_are_rendered_as_longer_ones(spark, rows):
+    from contact_mart.checks.registry import agents_text, names_text
+
+    kind = "k int, names array<string>, agents array<struct<agent_id:string,first_category:string,second_category:string,third_category:string>>"
+    lone, other = ("a", None, "s", "t"), ("b", "f", None, None)
+    df = spark.createDataFrame(
+        [(1, ["n"], [lone]), (2, [None], [None]), (3, ["n", None], [other, lone]), (4, [], []), (5, None, None)], kind
+    )
+    assert rows(df.select("k", names_text("names").alias("n"), agents_text("agents").alias("a"))) == [
+        (1, "n", "a/~/s/t"), (2, "~", "~/~/~/~"), (3, "n|~", "a/~/s/t|b/f/~/~"), (4, "", ""), (5, None, None),
+    ]

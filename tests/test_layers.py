@@ -293,15 +293,15 @@ def test_a_cluster_without_shared_folder_is_refused(spark):
         _ = Workspace(Session()).root
 
 
-def moved_with(df, *columns):
-    """Exchanges of the plan whose rows have the columns."""
+def moved_with(df, *columns, step="Exchange"):
+    """Exchanges (or other steps) of the plan whose rows have the columns."""
     kept = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "16KB")
     try:
         text = plan(df)
     finally:
         df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
-    parts = re.findall(r"\n\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+    parts = re.findall(rf"\n\(\d+\) {step}\nInput \[\d+\]: \[(.*?)\]\n", text)
     return sum(all(re.search(rf"\b{c}#", p) for c in columns) for p in parts)
 
 
@@ -316,6 +316,27 @@ def test_wide_rows_of_the_final_layer_move_once(mart):
     assert moved_with(results.final_rows(mart["intermedia"], mart["src"], mart["p"], mart["ws"]), "skill_lookup") == 1
 
 
+def test_wide_rows_of_the_final_layer_are_sorted_once(mart):
+    """For all of their joins, with the agent and without. Before, each choice of agent rows and its unfolding sorted them again."""
+    rows_ = results.final_rows(mart["intermedia"], mart["src"], mart["p"], mart["ws"])
+    assert moved_with(rows_, "skill_lookup", step="Sort") == 1
+
+
+def test_the_tenure_report_reads_the_final_layer_without_writing_it_again(monkeypatch):
+    """Only the columns that it needs are read then."""
+    from types import SimpleNamespace
+
+    from contact_mart.checks import q_layers
+
+    staged = []
+    monkeypatch.setattr(q_layers.reports, "tenure_rows", lambda third, *rest: third)
+    monkeypatch.setattr(q_layers.reports, "tenure_report", lambda rows, version: rows)
+    monkeypatch.setattr(q_layers, "tenure", lambda c, mart: None)
+    ws = SimpleNamespace(stage=lambda df, name: staged.append(name) or df)
+    c = SimpleNamespace(third="third", intermedia="intermedia", ws=ws, p=SimpleNamespace(as_of=None, cutover=None))
+    assert q_layers.tenure_table(c, None) == "third" and staged == []
+
+
 def test_staff_of_narrow_rows_is_that_of_the_rows(spark, rows):
     """Missing conversations, agents, numbers and days; repeated rows; months that the staff table lacks."""
     day = date(1999, 3, 5)

@@ -89,6 +89,24 @@ def test_wildcard_join_equals_the_residual_test(spark, rows):
     assert any("[k#" in line and "o#" in line.split("]")[0] for line in plan), plan
 
 
+def test_lists_of_several_wildcard_joins_equal_one_after_the_other(spark, rows):
+    """Several own and open rows a key on both sides, rows without values, unknown keys and agents."""
+    rng = random.Random(3)
+    pick = lambda *options: rng.choice(options)
+    left = spark.createDataFrame([(pick("a", "b", "c", "d", None), pick("x", "y", "z", None), k // 2) for k in range(60)], "k string, o string, n int")
+    side = lambda *names: spark.createDataFrame(
+        [(pick("a", "b", "c", "e", None), pick("x", "y", None, None), *[pick(1, 2, None) for _ in names]) for _ in range(30)],
+        "k string, o string, " + ", ".join(f"{n} int" for n in names),
+    ).repartition("k")
+    one, two = side("v", "w"), side("u")
+    wanted = joins.wildcard_join(joins.wildcard_join(left, one, "k", "o", ["v", "w"]), two, "k", "o", ["u"])
+    lists = {"first": (one, ["v", "w"]), "second": (two, ["u"])}
+    listed = joins.wildcard_lists(left.withColumn("held", F.coalesce("o", F.lit("none"))), lists, "k", "o", "held").drop("held")
+    got = joins.unfolded(listed, {name: values for name, (_, values) in lists.items()})
+    assert got.columns == wanted.columns
+    assert rows(got) == rows(wanted)
+
+
 def test_nearest_snapshot_equals_the_ranked_candidates(spark, rows):
     """The merge against a join of all candidates; unknown months, periods, loads and values, ties of all kinds."""
     rng = random.Random(2)
