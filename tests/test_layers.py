@@ -383,6 +383,24 @@ def test_rows_of_a_wildcard_join_move_once(spark):
     assert moved_with(joins.wildcard_join(left, raw, "conversation_id", "agent_id", values), "n") == 1
 
 
+def test_rows_joined_to_the_bridge_move_once(spark, rows):
+    """Before, they moved to (conversation, participant) and again to the conversation."""
+    logs = spark.range(3000).selectExpr("'c' || id % 400 AS conversation_id", "'p' || id % 7 AS participant_id", "id % 11 AS agent_bp_number")
+    staff = spark.range(30).selectExpr(
+        "'a' || id AS agent_id", "id % 10 AS agent_bp_number", "id AS supervisor_bp_number", "199901 AS period_id",
+        "TIMESTAMP_NTZ'1999-01-01 00:00:00' AS load_datetime",
+    )
+    bridge = results.agent_bridge(logs, staff)
+    people = [(f"a{k}", k % 10) for k in range(30)]
+    wanted = {(f"c{k % 400}", f"p{k % 7}", a) for k in range(3000) for a, bp in people if bp == k % 11}
+    assert rows(bridge) == sorted(wanted)
+    resolution = spark.range(5000).selectExpr(
+        "'c' || id % 500 AS conversation_id", "'p' || id % 9 AS participant_id", "'true' AS is_first_call_resolution",
+        "'r' || id % 3 AS reason_resolution_fcr", "id AS load_datetime",
+    )
+    assert moved_with(results.resolution_per_agent(resolution, bridge), "reason_resolution_fcr") == 1
+
+
 def test_scan_tasks_stay_small(spark, tmp_path):
     path, asked = str(tmp_path / "t"), "spark.sql.files.minPartitionNum"
     spark.range(3_000_000, numPartitions=1).select(F.rand(1)).write.option("parquet.block.size", 1 << 20).parquet(path)
