@@ -18,7 +18,8 @@ from .conftest import SF
 
 INPUTS = ("documents", "benchmark", "labels", "pages", "conversations")
 # Queries with rows of their own: passages, conversations, nodes. Their tests are in files of their own.
-OTHER_ROWS = ("op4_substring_dedup", "op12_conversation_repair", "op13_prefix_trie")
+# And the ablations, a row for each rule.
+OTHER_ROWS = ("op4_substring_dedup", "op12_conversation_repair", "op13_prefix_trie", "quality_ablations")
 
 
 @pytest.fixture(scope="module")
@@ -50,11 +51,18 @@ def odd(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "quality_ablations"])
 def test_empty_tables_give_empty_results(spark, nothing, name):
     assert QUERIES[name](spark, nothing).collect() == []
 
 
+def test_ablations_have_a_row_a_rule_whatever_the_table(spark, nothing, odd):
+    """They are sums over the ledger: of an empty table zeros."""
+    empty, some = (QUERIES["quality_ablations"](spark, folder).collect() for folder in (nothing, odd))
+    assert sorted(r["rule"] for r in empty) == sorted(r["rule"] for r in some) and len({r["rule"] for r in some}) == len(some)
+    assert all(value == 0 for r in empty for name, value in r.asDict().items() if name != "rule")
+
+
 def test_pipeline_of_empty_tables_is_empty(spark, nothing):
     assert corpus_pipeline.run(spark, nothing).collect() == []
 
